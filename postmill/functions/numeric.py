@@ -24,7 +24,7 @@ def to_number(c: Column, data_type: T.DataType) -> Column:
 def round_even(c: Column, digits: int) -> Column:
     """Round a double to a number of digits, ties to even."""
     scale = 10.0**digits
-    return F.rint(c * scale) / scale
+    return F.rint(c * scale) / scale + 0.0  # no negative zero
 
 
 def percentage(part: Column, whole: Column, digits: int = 2) -> Column:

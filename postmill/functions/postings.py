@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, functions as F, types as T
 
 from postmill.functions.numeric import round_even
-from postmill.functions.text import SPACE, UNKNOWN, first_label, has_word, strip
+from postmill.functions.text import SPACE, UNKNOWN, first_label, has_word, let, strip
 
 # --- fixed values: words, tokens and limits ---------------------------------------------
 
@@ -98,6 +98,11 @@ SKILL_MAX_LENGTH = 50
 # ----------------------------------------------------------------------------------------
 
 
+def _digits(text: Column, kind: str) -> Column:
+    """Number for matched digits, NULL for no match; a failing cast would cost an exception."""
+    return F.when(text != "", text.try_cast(kind))
+
+
 def _text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
@@ -114,16 +119,17 @@ def employment_type(value: Column, description: Column) -> Column:
 
 def remote_type(value: Column, location: Column, title: Column, description: Column) -> Column:
     """Work modality from the raw value, location, title and clean description."""
-    text = F.lower(F.concat_ws(" ", *[_text(c) for c in (value, location, title, description)]))
-    return (
-        F.when(
-            has_word(text, REMOTE_WORDS),
-            F.when(has_word(text, PARTLY_REMOTE_WORDS), "Hybrid").otherwise("Remote"),
+
+    def choose(text: Column) -> Column:
+        partly = F.when(has_word(text, PARTLY_REMOTE_WORDS), "Hybrid").otherwise("Remote")
+        return (
+            F.when(has_word(text, REMOTE_WORDS), partly)
+            .when(has_word(text, HYBRID_WORDS), "Hybrid")
+            .when(has_word(text, ONSITE_WORDS), "Onsite")
+            .otherwise(UNKNOWN)
         )
-        .when(has_word(text, HYBRID_WORDS), "Hybrid")
-        .when(has_word(text, ONSITE_WORDS), "Onsite")
-        .otherwise(UNKNOWN)
-    )
+
+    return let(F.lower(F.concat_ws(" ", *[_text(c) for c in (value, location, title, description)])), choose)
 
 
 def salary(value: Column, default_currency: str = DEFAULT_CURRENCY) -> Column:
@@ -133,14 +139,17 @@ def salary(value: Column, default_currency: str = DEFAULT_CURRENCY) -> Column:
     give the range. Amounts are never annualised. Text that discloses nothing gives a NULL
     currency and the period "Unknown".
     """
-    s = strip(value.cast("string"))
-    upper = F.upper(s)
+    return let(strip(value.cast("string")), lambda s: _salary(s, default_currency))
+
+
+def _salary(s: Column, default_currency: str) -> Column:
+    upper, lower = F.upper(s), F.lower(s)
     negative = s.startswith("-")
     undisclosed = (
         s.isNull()
         | (s == "")
-        | F.lower(s).isin(*NO_SALARY_TOKENS)
-        | F.lower(s).contains("negative")
+        | lower.isin(*NO_SALARY_TOKENS)
+        | lower.contains("negative")
         | (negative & ~s.rlike("[0-9]+.*[0-9]+"))
     )
     currency = (
@@ -156,6 +165,30 @@ def salary(value: Column, default_currency: str = DEFAULT_CURRENCY) -> Column:
         .otherwise(DEFAULT_PERIOD)
     )
 
+    def result(amounts: Column) -> Column:
+        low, high = F.array_min(amounts), F.array_max(amounts)
+        usable = ~negative & (low > 0) & (low <= SALARY_LIMIT)
+        return F.struct(
+            F.when(usable, low).alias("min"),
+            F.when(usable, high).alias("max"),
+            currency.alias("currency"),
+            period.alias("period"),
+            F.when(usable, round_even((low + high) / 2.0, 2)).alias("midpoint"),
+        )
+
+    number = F.lit(None).cast("double")
+    nothing = F.struct(
+        number.alias("min"),
+        number.alias("max"),
+        F.lit(None).cast("string").alias("currency"),
+        F.lit(UNKNOWN).alias("period"),
+        number.alias("midpoint"),
+    )
+    return F.when(undisclosed, nothing).otherwise(let(_first_two_amounts(s), result))
+
+
+def _first_two_amounts(s: Column) -> Column:
+    """Amounts with their k, m or lakh factor; suffixed ones only, if there are any."""
     digits = F.replace(s, F.lit(","), F.lit(""))
     suffixed = F.lit(rf"(?U)([0-9]+(?:\.[0-9]+)?){SPACE}*([kmKM])\b")
     with_suffix = F.zip_with(
@@ -166,18 +199,10 @@ def salary(value: Column, default_currency: str = DEFAULT_CURRENCY) -> Column:
     bare = F.transform(
         F.regexp_extract_all(digits, F.lit(r"[0-9]+(?:\.[0-9]+)?"), F.lit(0)), lambda n: n.try_cast("double")
     )
-    amounts = F.slice(F.when(F.size(with_suffix) > 0, with_suffix).otherwise(bare), 1, 2)
+    amounts = let(with_suffix, lambda found: F.when(F.size(found) > 0, found).otherwise(bare))
     in_lakh = has_word(s, LAKH_WORDS, "i")
-    amounts = F.transform(amounts, lambda n: F.when(in_lakh & (n < LAKH_BELOW), n * LAKH).otherwise(n))
-
-    low, high = F.array_min(amounts), F.array_max(amounts)
-    usable = ~undisclosed & ~negative & (low > 0) & (low <= SALARY_LIMIT)
-    return F.struct(
-        F.when(usable, low).alias("min"),
-        F.when(usable, high).alias("max"),
-        F.when(~undisclosed, currency).alias("currency"),
-        F.when(undisclosed, UNKNOWN).otherwise(period).alias("period"),
-        F.when(usable, round_even((low + high) / 2.0, 2)).alias("midpoint"),
+    return F.transform(
+        F.slice(amounts, 1, 2), lambda n: F.when((n < LAKH_BELOW) & in_lakh, n * LAKH).otherwise(n)
     )
 
 
@@ -187,57 +212,68 @@ def experience(value: Column, title: Column, description: Column) -> Column:
     Beginner words anywhere win, then a number of years in the value itself, then keywords.
     """
     own = strip(_text(value))
-    text = F.lower(F.concat_ws(" ", own, _text(title), _text(description)))
-    years = rf"(?U)([0-9]+){SPACE}*\+?{SPACE}*(?:-{SPACE}*([0-9]+){SPACE}*\+?|to{SPACE}*([0-9]+))?{SPACE}*(?:years?|yrs?)"
-    own_lower = F.lower(own)
+    text = F.concat_ws(" ", own, _text(title), _text(description))
+    return let(F.struct(F.lower(own).alias("own"), F.lower(text).alias("all")), _experience)
+
+
+def _experience(texts: Column) -> Column:
+    own, text = texts["own"], texts["all"]
+    gap = f"{SPACE}*"
+    years = rf"(?U)([0-9]+){gap}\+?{gap}(?:-{gap}([0-9]+){gap}\+?|to{gap}([0-9]+))?{gap}(?:years?|yrs?)"
 
     def group(i: int) -> Column:
-        return F.nullif(F.regexp_extract(own_lower, years, i), F.lit("")).try_cast("double")
+        return _digits(F.regexp_extract(own, years, i), "double")
 
-    low = group(1)
-    high = F.coalesce(group(2), group(3), F.when(own.contains("+"), low + OPEN_ENDED_YEARS).otherwise(low))
-    mean = (low + high) / 2.0
-    level = F.when(F.lit(False), "")
-    for limit, name in EXPERIENCE_LEVELS:
-        level = level.when(mean <= limit, name)
-    level = level.otherwise(ABOVE_ALL_LEVELS)
-
-    def result(lo, hi, name) -> Column:
-        as_double = [x if isinstance(x, Column) else F.lit(x).cast("double") for x in (lo, hi)]
-        name = name if isinstance(name, Column) else F.lit(name)
-        return F.struct(as_double[0].alias("min"), as_double[1].alias("max"), name.alias("level"))
+    def result(low, high, level) -> Column:
+        low, high = (x if isinstance(x, Column) else F.lit(x).cast("double") for x in (low, high))
+        level = level if isinstance(level, Column) else F.lit(level)
+        return F.struct(low.alias("min"), high.alias("max"), level.alias("level"))
 
+    def stated(span: Column) -> Column:
+        low, high = span["low"], span["high"]
+        level = F.when(F.lit(False), "")
+        for limit, name in EXPERIENCE_LEVELS:
+            level = level.when((low + high) / 2.0 <= limit, name)
+        return result(low, high, level.otherwise(ABOVE_ALL_LEVELS))
+
+    low = group(1)
+    open_ended = F.when(own.contains("+"), low + OPEN_ENDED_YEARS).otherwise(low)
+    span = F.struct(low.alias("low"), F.coalesce(group(2), group(3), open_ended).alias("high"))
     out = F.when(has_word(text, BEGINNER_WORDS), result(0.0, 1.0, "Entry Level")).when(
-        low.isNotNull(), result(low, high, level)
+        own.rlike(years), let(span, stated)
     )
-    for words, lo, hi, name in EXPERIENCE_FALLBACK:
-        out = out.when(has_word(text, words), result(lo, hi, name))
+    for words, first, last, name in EXPERIENCE_FALLBACK:
+        out = out.when(has_word(text, words), result(first, last, name))
     return out.otherwise(result(None, None, UNKNOWN))
 
 
 def location(value: Column, aliases: Mapping[str, tuple[str, str]] = CITY_ALIASES) -> Column:
     """Split a place into a struct (city, state, country), with known cities standardised."""
-    place = strip(_text(value))
-    parts = F.filter(
-        F.transform(F.split(place, ","), lambda p: strip(p)), lambda p: p != ""
-    )
-    nowhere = F.lower(place).isin("", *NO_LOCATION_TOKENS)
+    pairs = []
+    for alias, (city, state) in aliases.items():
+        pairs += [F.lit(alias), F.struct(F.lit(city).alias("city"), F.lit(state).alias("state"))]
+
+    def standard(place: Column) -> Column:
+        known = F.try_element_at(F.create_map(*pairs), F.lower(place["city"]))
+        return F.struct(
+            F.coalesce(known["city"], place["city"]).alias("city"),
+            F.coalesce(known["state"], place["state"]).alias("state"),
+            F.when(known.isNotNull(), DEFAULT_COUNTRY).otherwise(place["country"]).alias("country"),
+        )
 
-    def part(i: int, default: str) -> Column:
-        return F.when(nowhere, default).otherwise(F.coalesce(F.get(parts, F.lit(i)), F.lit(default)))
+    def split(parts: Column) -> Column:
+        return F.struct(
+            F.coalesce(F.get(parts, F.lit(0)), F.lit(UNKNOWN)).alias("city"),
+            F.coalesce(F.get(parts, F.lit(1)), F.lit(UNKNOWN)).alias("state"),
+            F.coalesce(F.get(parts, F.lit(2)), F.lit(DEFAULT_COUNTRY)).alias("country"),
+        )
 
-    city, state, country = part(0, UNKNOWN), part(1, UNKNOWN), part(2, DEFAULT_COUNTRY)
-    if not aliases:
-        return F.struct(city.alias("city"), state.alias("state"), country.alias("country"))
-    pairs = []
-    for alias, (known_city, known_state) in aliases.items():
-        pairs += [F.lit(alias), F.struct(F.lit(known_city).alias("city"), F.lit(known_state).alias("state"))]
-    known = F.try_element_at(F.create_map(*pairs), F.lower(city))
-    return F.struct(
-        F.coalesce(known["city"], city).alias("city"),
-        F.coalesce(known["state"], state).alias("state"),
-        F.when(known.isNotNull(), DEFAULT_COUNTRY).otherwise(country).alias("country"),
-    )
+    def parts_of(place: Column) -> Column:
+        trimmed = F.transform(F.split(place, ","), lambda p: strip(p))
+        return F.when(~F.lower(place).isin("", *NO_LOCATION_TOKENS), F.filter(trimmed, lambda p: p != ""))
+
+    place = let(let(strip(_text(value)), parts_of), split)
+    return let(place, standard) if pairs else place
 
 
 def posted_date(value: Column) -> Column:
@@ -246,22 +282,38 @@ def posted_date(value: Column) -> Column:
     The text before "T" is tried against six formats; failing those, the first
     year-month-day group anywhere in the text is taken unchecked.
     """
-    s = strip(value.cast("string"))
-    usable = s.isNotNull() & ~F.lower(s).isin(*NO_DATE_TOKENS)
-    # Month names are matched without regard to case and to the amount of space.
-    day_text = F.initcap(F.regexp_replace(F.split(s, "T")[0], f"(?U){SPACE}+", " "))
-    parsed = F.coalesce(
-        *[F.when(day_text.rlike(shape), F.try_to_date(day_text, pattern)) for shape, pattern in DATE_FORMATS]
-    )
+    return let(strip(value.cast("string")), _posted_date)
+
+
+def _posted_date(s: Column) -> Column:
+    def dated(text: Column) -> Column:
+        # Month names are matched without regard to case and to the amount of space.
+        named = F.initcap(F.regexp_replace(text, f"(?U){SPACE}+", " "))
+        return F.coalesce(
+            *[
+                F.when(spelled.rlike(shape), F.try_to_date(spelled, pattern))
+                for shape, pattern in DATE_FORMATS
+                for spelled in [named if "MMM" in pattern else text]
+            ]
+        )
+
+    # A text without a digit is no date in any format.
+    date = F.when(s.rlike("[0-9]"), let(F.substring_index(s, "T", 1), dated))
     loose = "([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})"
 
-    def part(of_date, i: int) -> Column:
-        found = F.nullif(F.regexp_extract(s, loose, i), F.lit("")).try_cast("int")
-        return F.when(usable, F.coalesce(of_date(parsed), found))
+    def found(i: int) -> Column:
+        return _digits(F.regexp_extract(s, loose, i), "int")
+
+    def parts(d: Column) -> Column:
+        of_date = F.struct(F.year(d).alias("year"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"))
+        of_text = F.struct(found(1).alias("year"), found(2).alias("month"), found(3).alias("day"))
+        return F.when(d.isNotNull(), of_date).when(~F.lower(s).isin(*NO_DATE_TOKENS), of_text)
+
+    def result(p: Column) -> Column:
+        iso = F.when(p["year"].isNotNull(), F.format_string("%04d-%02d-%02d", p["year"], p["month"], p["day"]))
+        return F.struct(iso.alias("iso"), p["year"], p["month"], p["day"])
 
-    year, month, day = part(F.year, 1), part(F.month, 2), part(F.dayofmonth, 3)
-    iso = F.when(year.isNotNull(), F.format_string("%04d-%02d-%02d", year, month, day))
-    return F.struct(iso.alias("iso"), year.alias("year"), month.alias("month"), day.alias("day"))
+    return let(let(date, parts), result)
 
 
 def skills(value: Column, data_type: T.DataType) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from html.entities import html5
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Whitespace in the sense of Unicode text plus the four ASCII separators. Always used
 # together with the (?U) flag so that \s and \b look at Unicode properties.
@@ -24,6 +24,28 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"(?U)^{SPACE}+|{SPACE}+$", "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Compute a value once and use it several times in one expression.
+
+    A plain reuse would repeat long texts and regular expressions in every branch. The body
+    also stays out of the generated code of its stage: a stage with many parsers would grow
+    beyond 8,000 bytes per method, which the JVM no longer compiles.
+    """
+    none = F.array().cast("array<int>")
+    return F.aggregate(none, value, lambda bound, _: bound, body)
+
+
+def computed_once(df: DataFrame, struct: Column, outputs: dict[str, str]) -> DataFrame:
+    """Add fields of a costly struct expression as columns (output name: field name).
+
+    The struct passes through a one-element array because the optimizer copies a struct
+    expression into each of its field accesses, which would run a parser once per field.
+    """
+    parsed = F.try_element_at(F.col("_parsed"), F.lit(1))
+    df = df.withColumn("_parsed", F.transform(F.array(struct), lambda x: x))
+    return df.withColumns({out: parsed[field] for out, field in outputs.items()}).drop("_parsed")
+
+
 def as_text(c: Column, data_type: T.DataType) -> Column:
     """String view of a column; complex types become JSON."""
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
@@ -37,7 +59,8 @@ def as_text(c: Column, data_type: T.DataType) -> Column:
 _FREQUENT_ENTITIES = ("amp;", "nbsp;", "lt;", "gt;", "quot;", "apos;")
 
 
-def _semicolon_entities() -> Column:
+def _named_entities() -> Column:
+    """All names with their semicolon; names allowed without it mean the same with it."""
     table = {k: v for k, v in html5.items() if k.endswith(";")}
     return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
@@ -48,11 +71,6 @@ def _bare_entity_pattern() -> str:
     return "^(" + "|".join(bare) + ")"
 
 
-def _bare_entities() -> Column:
-    table = {k: v for k, v in html5.items() if not k.endswith(";")}
-    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
-
-
 def _windows_1252() -> Column:
     """Code points 0x80-0x9f are read as Windows-1252, the five unassigned ones as they are."""
     pairs = []
@@ -91,7 +109,8 @@ def _decode_after_ampersand(s: Column) -> Column:
     decimal = F.regexp_extract(s, "^#0*([0-9]+);?", 1)
     hexadecimal = F.regexp_extract(s, "^#[xX]0*([0-9a-fA-F]+);?", 1)
     named = F.regexp_extract(s, r"^([^\t\n\f <&#;]{1,32};)", 1)
-    named_value = F.try_element_at(_semicolon_entities(), named)
+    table = _named_entities()
+    named_value = F.try_element_at(table, named)
     bare = F.regexp_extract(s, _bare_entity_pattern(), 1)
     out = F.when(F.lit(False), s)
     for name in _FREQUENT_ENTITIES:
@@ -117,7 +136,7 @@ def _decode_after_ampersand(s: Column) -> Column:
         )
         .when(
             bare != "",
-            F.concat(F.try_element_at(_bare_entities(), bare), F.substr(s, F.length(bare) + 1)),
+            F.concat(F.try_element_at(table, F.concat(bare, F.lit(";"))), F.substr(s, F.length(bare) + 1)),
         )
         .otherwise(F.concat(F.lit("&"), s))
     )
@@ -141,8 +160,12 @@ def clean_text(c: Column) -> Column:
     References are resolved before tags are removed, so an escaped tag is removed too.
     NULL becomes the empty string.
     """
-    text = F.regexp_replace(unescape_html(c), "<[^>]+>", " ")
-    return F.coalesce(F.trim(F.regexp_replace(text, f"(?U){SPACE}+", " ")), F.lit(""))
+
+    def plain(text: Column) -> Column:
+        untagged = F.regexp_replace(unescape_html(text), "<[^>]+>", " ")
+        return F.coalesce(F.trim(F.regexp_replace(untagged, f"(?U){SPACE}+", " ")), F.lit(""))
+
+    return let(c, plain)
 
 
 # --- missing values ---------------------------------------------------------------------
@@ -191,7 +214,11 @@ def has_word(c: Column, words: Sequence[str], flags: str = "") -> Column:
 
 def first_label(c: Column, rules: Sequence[tuple[str, Sequence[str]]], default: str = UNKNOWN) -> Column:
     """Label of the first rule whose words occur in the (lower-cased) text."""
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for label, words in rules:
-        out = out.when(has_word(c, words), F.lit(label))
-    return out.otherwise(F.lit(default))
+
+    def choose(text: Column) -> Column:
+        out = F.when(F.lit(False), F.lit(None).cast("string"))
+        for label, words in rules:
+            out = out.when(has_word(text, words), F.lit(label))
+        return out.otherwise(F.lit(default))
+
+    return let(c, choose)

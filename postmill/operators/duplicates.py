@@ -11,11 +11,12 @@ from postmill.functions.text import as_text
 
 def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     """SHA-256 of a whole row. Each value carries its length, so no two rows share a text."""
-    parts = []
-    for name in columns:
-        text = as_text(F.col(f"`{name}`"), df.schema[name].dataType)
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return F.sha2(F.concat(*parts), 256)
+    texts = [as_text(F.col(f"`{name}`"), df.schema[name].dataType) for name in columns]
+    marked = F.transform(
+        F.array(*texts),
+        lambda t: F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")),
+    )
+    return F.sha2(F.array_join(marked, ""), 256)
 
 
 def count_exact_duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

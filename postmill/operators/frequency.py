@@ -74,5 +74,5 @@ def cross_table(df: DataFrame, row: str, column: str, column_values: Sequence[st
     top = top_values(df, row, limit).select(row)
     cells = df.select(row, column).where(F.col(column).isNotNull())
     kept = cells.join(F.broadcast(top), row, "left_semi")  # top holds at most `limit` rows
-    table = kept.groupBy(row).pivot(column, list(column_values)).agg(F.count("*"))
+    table = kept.groupBy(row).pivot(column, list(column_values)).agg(F.count(F.lit(1)))
     return table.na.fill(0, list(column_values))

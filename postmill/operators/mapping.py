@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from postmill.functions.text import as_text
 from postmill.schema import (
@@ -85,3 +85,29 @@ def normalize_columns(df: DataFrame, custom: Mapping[str, str] | None = None,
         selected.append(text.alias("raw_salary_string"))
     selected += [F.lit(None).cast(CANONICAL_TYPES[c]).alias(c) for c in CANONICAL_COLUMNS if c not in present]
     return df.select(*selected), mapping
+
+
+def rename_columns(df: DataFrame, custom: Mapping[str, str] | None = None) -> DataFrame:
+    """Text view of a source under the common names, ready to be united with other sources.
+
+    The salary text gets the name "salary" whatever its own; arrays are joined by "|".
+    """
+    mapping = map_columns([c for c in df.columns if c != ORDER_COLUMN], custom)
+    names = dict(mapping.targets)
+    if mapping.salary_text is not None:
+        names[mapping.salary_text] = "salary"
+    selected = []
+    for field in df.schema.fields:
+        c = F.col(_spelled(field.name))
+        if field.name == ORDER_COLUMN:
+            selected.append(c)
+            continue
+        name = names.get(field.name, field.name)
+        if field.name not in names and field.name in names.values():
+            name = f"{field.name}__raw"
+        if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StringType):
+            text = F.array_join(c, "|")
+        else:
+            text = as_text(c, field.dataType)
+        selected.append(text.alias(name))
+    return df.select(*selected)

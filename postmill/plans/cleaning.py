@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postmill.functions import postings as P
 from postmill.functions.numeric import to_number
-from postmill.functions.text import as_text, clean_text, strip
+from postmill.functions.text import as_text, clean_text, computed_once, let, strip
 from postmill.operators.duplicates import count_exact_duplicates, count_groups, keep_first, row_digest
 from postmill.operators.mapping import ColumnMapping, normalize_columns
 from postmill.schema import CANONICAL_COLUMNS, ORDER_COLUMN
@@ -71,7 +71,7 @@ def _keyed(raw: DataFrame, mapping: ColumnMapping, raw_columns: Sequence[str], c
     named, _ = normalize_columns(with_job_id(raw, raw_columns, id_source, hex_digits), custom, strict=False)
     text = {c: clean_text(F.col(c).cast("string")) for c in DUPLICATE_KEY}
     for c in ("company", "location"):
-        text[c] = F.coalesce(F.nullif(text[c], F.lit("")), F.lit(P.UNKNOWN))
+        text[c] = let(text[c], lambda x: F.when(x == "", P.UNKNOWN).otherwise(x))
     named = named.withColumns({**text, "job_id": F.col("_job_id")}).drop("_job_id")
     if strict:
         named = named.select(*[c for c in named.columns if c in CANONICAL_COLUMNS or c in _INPUT_EXTRAS])
@@ -109,18 +109,14 @@ def add_salary(df: DataFrame, from_text: Column | bool) -> DataFrame:
     }
     if from_text is False:
         return df.withColumns(numeric)
-    df = df.withColumn("_salary", P.salary(F.col("raw_salary_string")))
-    parsed = {
-        "salary_min": F.col("_salary.min"),
-        "salary_max": F.col("_salary.max"),
-        "salary_currency": F.coalesce(F.col("_salary.currency"), F.lit(P.DEFAULT_CURRENCY)),
-        "salary_period": F.col("_salary.period"),
-        "salary_midpoint": F.col("_salary.midpoint"),
-    }
+    fields = {c: c.removeprefix("salary_") for c in numeric}
+    df = computed_once(df, P.salary(F.col("raw_salary_string")), {f"_{c}": field for c, field in fields.items()})
+    parsed = {c: F.col(f"_{c}") for c in numeric}
+    parsed["salary_currency"] = F.coalesce(parsed["salary_currency"], F.lit(P.DEFAULT_CURRENCY))
     if from_text is not True:
         df = df.withColumn("_from_text", from_text)
         parsed = {c: F.when(F.col("_from_text"), parsed[c]).otherwise(numeric[c]) for c in parsed}
-    return df.withColumns(parsed).drop("_salary", "_from_text")
+    return df.withColumns(parsed).drop("_from_text", *[f"_{c}" for c in numeric])
 
 
 def add_description(df: DataFrame) -> DataFrame:
@@ -130,28 +126,22 @@ def add_description(df: DataFrame) -> DataFrame:
 def add_experience(df: DataFrame) -> DataFrame:
     """Years and level; needs the clean title and description."""
     source = F.col("experience").cast("string") if "experience" in df.columns else F.lit(None).cast("string")
-    df = df.withColumn("_experience", P.experience(source, F.col("job_title"), F.col("description_clean")))
-    return df.withColumns(
-        {
-            "experience_min_years": F.col("_experience.min"),
-            "experience_max_years": F.col("_experience.max"),
-            "experience_level": F.col("_experience.level"),
-        }
-    ).drop("_experience")
+    return computed_once(
+        df,
+        P.experience(source, F.col("job_title"), F.col("description_clean")),
+        {"experience_min_years": "min", "experience_max_years": "max", "experience_level": "level"},
+    )
 
 
 def add_posted_date(df: DataFrame) -> DataFrame:
     """ISO date with its parts, and ``_bad_date`` where a raw value could not be read."""
-    df = df.withColumn("_date", P.posted_date(F.col("posted_date").cast("string")))
-    return df.withColumns(
-        {
-            "_bad_date": F.col("_date.iso").isNull() & F.col("posted_date").isNotNull(),
-            "posted_date": F.col("_date.iso"),
-            "posted_year": F.col("_date.year"),
-            "posted_month": F.col("_date.month"),
-            "posted_day": F.col("_date.day"),
-        }
-    ).drop("_date")
+    df = df.withColumn("_given_date", F.col("posted_date").isNotNull())
+    df = computed_once(
+        df,
+        P.posted_date(F.col("posted_date").cast("string")),
+        {"posted_date": "iso", "posted_year": "year", "posted_month": "month", "posted_day": "day"},
+    )
+    return df.withColumn("_bad_date", F.col("posted_date").isNull() & F.col("_given_date")).drop("_given_date")
 
 
 def _rules() -> dict[str, Column]:
@@ -173,21 +163,18 @@ def add_flags(df: DataFrame) -> DataFrame:
 
 def add_categories(df: DataFrame) -> DataFrame:
     """Seniority, place, work modality, contract type and skills."""
-    df = df.withColumn("_place", P.location(F.col("location")))
+    df = computed_once(df, P.location(F.col("location")), {c: c for c in ("city", "state", "country")})
     skills_type = df.schema["skills"].dataType
     df = df.withColumns(
         {
             "seniority_level": P.seniority(F.col("job_title"), F.col("description")),
-            "city": F.col("_place.city"),
-            "state": F.col("_place.state"),
-            "country": F.col("_place.country"),
             "remote_type": P.remote_type(
                 F.col("remote_type"), F.col("location"), F.col("job_title"), F.col("description_clean")
             ),
             "employment_type": P.employment_type(F.col("employment_type"), F.col("description_clean")),
             "skills": P.skills(F.col("skills"), skills_type),
         }
-    ).drop("_place")
+    )
     return df.withColumn("skills_formatted", F.array_join("skills", ", "))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from postmill.functions.numeric import number_text, percentage, round_even, to_number
 from postmill.functions.text import UNKNOWN, is_known, is_missing_exact, strip
-from postmill.operators.describe import grouped_stats, numeric_stats
+from postmill.operators.describe import GROUP_STATS, grouped_stats, numeric_stats
 from postmill.operators.frequency import (
     cross_table,
     distributions,
@@ -79,7 +79,8 @@ def distinct_skills(df: DataFrame) -> DataFrame:
     c = F.col("skills")
     if not isinstance(df.schema["skills"].dataType, T.ArrayType):
         c = F.split(c, ",")
-    skills = df.select(strip(F.explode(c)).alias("skill")).where(F.col("skill") != "").distinct()
+    skills = df.select(F.explode(c).alias("skill")).select(strip(F.col("skill")).alias("skill"))
+    skills = skills.where(F.col("skill") != "").distinct()
     return skills.agg(F.count("*").alias("unique_skills"))
 
 
@@ -167,6 +168,9 @@ def salary_groups(df: DataFrame, groupings: dict[str, int], target: str = "_sala
         for c in groupings
         if c in df.columns
     ]
+    if not cells:
+        names = ["count bigint", *[f"{c} double" for c in GROUP_STATS[1:]]]
+        return df.sparkSession.createDataFrame([], ", ".join(["dimension string", "value string", *names]))
     stacked = df.where(F.col(target).isNotNull()).select(F.inline(F.array(*cells)))
     stats = grouped_stats(stacked, ["dimension", "value"], "v")
     least = F.lit(1)

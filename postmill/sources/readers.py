@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from postmill.functions.text import null_tokens
-from postmill.operators.mapping import normalize_columns
+from postmill.operators.mapping import rename_columns
 from postmill.schema import ORDER_COLUMN
 
 # Cell texts that mean NULL in delimited files.
@@ -65,13 +65,16 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], file_format: str =
 
 def read_raw_sources(spark: SparkSession, paths: Sequence[str], file_format: str = "csv",
                      custom_mapping: Mapping[str, str] | None = None) -> DataFrame | None:
-    """Raw postings from sources with different headers: each is mapped, then all are united."""
+    """Raw postings from sources with different headers: each is renamed, then all are united.
+
+    Rows keep their order by source file. All values are text afterwards.
+    """
     out = None
     for path in paths:
         df = read_raw(spark, path, file_format)
         if df is None:
             continue
-        named, _ = normalize_columns(df, custom_mapping)
+        named = rename_columns(df, custom_mapping)
         out = named if out is None else out.unionByName(named, allowMissingColumns=True)
     return out
 

@@ -119,13 +119,13 @@ def test_heatmap_and_tables(spark, eda):
         "correlation_heatmap"}
 
 
-RAW_CSV = """jobId,jobTitle,companyName,jobLocation,salaryRange,experienceLevel,jobDescription,postedDate,keySkills
+RAW_CSV = '''jobId,jobTitle,companyName,jobLocation,salaryRange,experienceLevel,jobDescription,postedDate,keySkills
 7,"Data, Analyst",Acme,Bangalore,4-7 LPA,1-3 years,"Line one
 says ""hybrid""",2026-03-15,"Python, SQL"
 NA,Engineer,N/A,"London, England, UK",Not Disclosed,,<p>Spark &amp; SQL</p>,15-03-2026,Spark|AWS
 NA,Engineer,N/A,"London, England, UK",Not Disclosed,,<p>Spark &amp; SQL</p>,15-03-2026,Spark|AWS
 ,nan,Acme,Pune,,,,bad,
-"""
+'''
 
 
 @pytest.fixture
