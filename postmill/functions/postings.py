@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F, types as T
@@ -249,12 +250,11 @@ def _experience(texts: Column) -> Column:
 
 def location(value: Column, aliases: Mapping[str, tuple[str, str]] = CITY_ALIASES) -> Column:
     """Split a place into a struct (city, state, country), with known cities standardised."""
-    pairs = []
-    for alias, (city, state) in aliases.items():
-        pairs += [F.lit(alias), F.struct(F.lit(city).alias("city"), F.lit(state).alias("state"))]
+    table = {alias: {"city": city, "state": state} for alias, (city, state) in aliases.items()}
+    table = F.from_json(F.lit(json.dumps(table)), "map<string,struct<city:string,state:string>>")
 
     def standard(place: Column) -> Column:
-        known = F.try_element_at(F.create_map(*pairs), F.lower(place["city"]))
+        known = F.try_element_at(table, F.lower(place["city"]))
         return F.struct(
             F.coalesce(known["city"], place["city"]).alias("city"),
             F.coalesce(known["state"], place["state"]).alias("state"),
@@ -273,7 +273,7 @@ def location(value: Column, aliases: Mapping[str, tuple[str, str]] = CITY_ALIASE
         return F.when(~F.lower(place).isin("", *NO_LOCATION_TOKENS), F.filter(trimmed, lambda p: p != ""))
 
     place = let(let(strip(_text(value)), parts_of), split)
-    return let(place, standard) if pairs else place
+    return let(place, standard) if aliases else place
 
 
 def posted_date(value: Column) -> Column:

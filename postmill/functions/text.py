@@ -55,10 +55,6 @@ def as_text(c: Column, data_type: T.DataType) -> Column:
 
 # --- markup -----------------------------------------------------------------------------
 
-# Entities that make up nearly all real text; the full named table is consulted after them.
-_FREQUENT_ENTITIES = ("amp;", "nbsp;", "lt;", "gt;", "quot;", "apos;")
-
-
 def _named_entities() -> Column:
     """All names with their semicolon; names allowed without it mean the same with it."""
     table = {k: v for k, v in html5.items() if k.endswith(";")}
@@ -71,76 +67,73 @@ def _bare_entity_pattern() -> str:
     return "^(" + "|".join(bare) + ")"
 
 
-def _windows_1252() -> Column:
-    """Code points 0x80-0x9f are read as Windows-1252, the five unassigned ones as they are."""
-    pairs = []
-    for code in range(0x80, 0xA0):
-        try:
-            char = bytes([code]).decode("cp1252")
-        except UnicodeDecodeError:
-            char = chr(code)
-        pairs += [F.lit(code).cast("bigint"), F.lit(char)]
-    return F.create_map(*pairs)
+def _windows_1252() -> str:
+    """Characters for 0x80-0x9f: read as Windows-1252, the five unassigned codes as they are."""
+    return "".join(bytes([c]).decode("cp1252", errors="ignore") or chr(c) for c in range(0x80, 0xA0))
 
 
 def _code_point(n: Column) -> Column:
     """Character for a numeric reference, with the HTML5 rules for invalid numbers."""
-    char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
     return (
-        F.when(n.isNull() | (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("�"))
-        .when(n.between(0x80, 0x9F), F.try_element_at(_windows_1252(), n))
-        .when(n == 0x0D, F.lit("\r"))
+        F.when(n.isNull() | (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "\ufffd")
+        .when(n.between(0x80, 0x9F), F.substr(F.lit(_windows_1252()), (n - 0x7F).cast("int"), F.lit(1)))
+        .when(n == 0x0D, "\r")
         .when(
             n.between(0x01, 0x08)
             | (n == 0x0B)
             | n.between(0x0E, 0x1F)
             | (n == 0x7F)
             | n.between(0xFDD0, 0xFDEF)
-            | ((n % 0x10000) >= 0xFFFE),
-            F.lit(""),
+            | (n % 0x10000 >= 0xFFFE),
+            "",
         )
-        .otherwise(char)
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
     )
 
 
-def _decode_after_ampersand(s: Column) -> Column:
-    """Decode the text that followed one ``&``; unknown references keep the ampersand."""
-    # Numbers beyond nine digits are outside Unicode anyway, so they take the NULL branch.
-    decimal = F.regexp_extract(s, "^#0*([0-9]+);?", 1)
-    hexadecimal = F.regexp_extract(s, "^#[xX]0*([0-9a-fA-F]+);?", 1)
-    named = F.regexp_extract(s, r"^([^\t\n\f <&#;]{1,32};)", 1)
+# Decimal or hexadecimal reference; numbers of more digits are outside Unicode anyway.
+_NUMERIC = "^#(?:0*([0-9]+)|[xX]0*([0-9a-fA-F]+));?"
+
+
+def _numeric_reference(s: Column) -> Column:
+    decimal, hexadecimal = F.regexp_extract(s, _NUMERIC, 1), F.regexp_extract(s, _NUMERIC, 2)
+    number = F.when(F.length(decimal).between(1, 9), decimal.cast("bigint")).when(
+        F.length(hexadecimal).between(1, 7), F.conv(hexadecimal, 16, 10).cast("bigint")
+    )
+    return F.concat(let(number, _code_point), F.regexp_replace(s, _NUMERIC, ""))
+
+
+def _named_reference(s: Column) -> Column:
+    """Longest known name at the start; an unknown one keeps its ampersand."""
     table = _named_entities()
-    named_value = F.try_element_at(table, named)
-    bare = F.regexp_extract(s, _bare_entity_pattern(), 1)
-    out = F.when(F.lit(False), s)
-    for name in _FREQUENT_ENTITIES:
-        out = out.when(s.startswith(name), F.concat(F.lit(html5[name]), F.substr(s, F.lit(len(name) + 1))))
-    return (
-        out.when(
-            decimal != "",
-            F.concat(
-                _code_point(F.when(F.length(decimal) <= 9, decimal.cast("bigint"))),
-                F.regexp_replace(s, "^#[0-9]+;?", ""),
-            ),
-        )
-        .when(
-            hexadecimal != "",
-            F.concat(
-                _code_point(F.when(F.length(hexadecimal) <= 7, F.conv(hexadecimal, 16, 10).cast("bigint"))),
-                F.regexp_replace(s, "^#[xX][0-9a-fA-F]+;?", ""),
-            ),
-        )
-        .when(
-            (named != "") & named_value.isNotNull(),
-            F.concat(named_value, F.substr(s, F.length(named) + 1)),
-        )
-        .when(
-            bare != "",
-            F.concat(F.try_element_at(table, F.concat(bare, F.lit(";"))), F.substr(s, F.length(bare) + 1)),
-        )
-        .otherwise(F.concat(F.lit("&"), s))
+    known = F.struct(
+        F.regexp_extract(s, r"^[^\t\n\f <&#;]{1,32};", 0).alias("full"),
+        F.regexp_extract(s, _bare_entity_pattern(), 0).alias("bare"),
     )
 
+    def resolve(name: Column) -> Column:
+        value = F.try_element_at(table, name["full"])
+        return (
+            F.when(value.isNotNull(), F.concat(value, F.substr(s, F.length(name["full"]) + 1)))
+            .when(
+                name["bare"] != "",
+                F.concat(
+                    F.try_element_at(table, F.concat(name["bare"], F.lit(";"))),
+                    F.substr(s, F.length(name["bare"]) + 1),
+                ),
+            )
+            .otherwise(F.concat(F.lit("&"), s))
+        )
+
+    return let(known, resolve)
+
+
+def _decode_after_ampersand(s: Column) -> Column:
+    """Decode the text that followed one ``&``."""
+    out = F.when(s.startswith("amp;"), F.concat(F.lit("&"), F.substr(s, F.lit(5))))
+    out = out.when(s.startswith("nbsp;"), F.concat(F.lit(html5["nbsp;"]), F.substr(s, F.lit(6))))
+    return out.when(s.rlike(_NUMERIC), _numeric_reference(s)).otherwise(_named_reference(s))
+
 
 def unescape_html(c: Column) -> Column:
     """Resolve HTML character references in one pass, inside the JVM.

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postmill.functions import postings as P
 from postmill.functions.numeric import to_number
-from postmill.functions.text import as_text, clean_text, computed_once, let, strip
+from postmill.functions.text import as_text, clean_text, computed_once, strip
 from postmill.operators.duplicates import count_exact_duplicates, count_groups, keep_first, row_digest
 from postmill.operators.mapping import ColumnMapping, normalize_columns
 from postmill.schema import CANONICAL_COLUMNS, ORDER_COLUMN
@@ -36,6 +37,50 @@ class CleanedPostings:
     mapping: ColumnMapping
 
 
+# Parser expressions refer to columns by name only, so each is built once and used in every plan.
+
+
+@cache
+def _key_texts() -> Column:
+    return F.transform(F.array(*[F.col(c).cast("string") for c in DUPLICATE_KEY]), clean_text)
+
+
+@cache
+def _description_text() -> Column:
+    return clean_text(F.col("description").cast("string"))
+
+
+@cache
+def _salary() -> Column:
+    return P.salary(F.col("raw_salary_string"))
+
+
+@cache
+def _experience(known: bool) -> Column:
+    value = F.col("experience").cast("string") if known else F.lit(None).cast("string")
+    return P.experience(value, F.col("job_title"), F.col("description_clean"))
+
+
+@cache
+def _posted_date() -> Column:
+    return P.posted_date(F.col("posted_date").cast("string"))
+
+
+@cache
+def _place() -> Column:
+    return P.location(F.col("location"))
+
+
+@cache
+def _labels() -> dict[str, Column]:
+    title, description = F.col("job_title"), F.col("description_clean")
+    return {
+        "seniority_level": P.seniority(title, F.col("description")),
+        "remote_type": P.remote_type(F.col("remote_type"), F.col("location"), title, description),
+        "employment_type": P.employment_type(F.col("employment_type"), description),
+    }
+
+
 def with_order(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Attach the row order that decides which duplicate comes first.
 
@@ -69,10 +114,17 @@ def _keyed(raw: DataFrame, mapping: ColumnMapping, raw_columns: Sequence[str], c
     """Canonical columns with ids and with title, company and location cleaned."""
     id_source = next((r for r, t in mapping.targets.items() if t == "job_id"), None)
     named, _ = normalize_columns(with_job_id(raw, raw_columns, id_source, hex_digits), custom, strict=False)
-    text = {c: clean_text(F.col(c).cast("string")) for c in DUPLICATE_KEY}
-    for c in ("company", "location"):
-        text[c] = let(text[c], lambda x: F.when(x == "", P.UNKNOWN).otherwise(x))
-    named = named.withColumns({**text, "job_id": F.col("_job_id")}).drop("_job_id")
+    # One expression cleans the three texts of the key in turn.
+    named = named.withColumn("_texts", _key_texts())
+    title, company, place = (F.try_element_at(F.col("_texts"), F.lit(i)) for i in (1, 2, 3))
+    named = named.withColumns(
+        {
+            "job_title": title,
+            "company": F.when(company == "", P.UNKNOWN).otherwise(company),
+            "location": F.when(place == "", P.UNKNOWN).otherwise(place),
+            "job_id": F.col("_job_id"),
+        }
+    ).drop("_job_id", "_texts")
     if strict:
         named = named.select(*[c for c in named.columns if c in CANONICAL_COLUMNS or c in _INPUT_EXTRAS])
     return named
@@ -110,7 +162,7 @@ def add_salary(df: DataFrame, from_text: Column | bool) -> DataFrame:
     if from_text is False:
         return df.withColumns(numeric)
     fields = {c: c.removeprefix("salary_") for c in numeric}
-    df = computed_once(df, P.salary(F.col("raw_salary_string")), {f"_{c}": field for c, field in fields.items()})
+    df = computed_once(df, _salary(), {f"_{c}": field for c, field in fields.items()})
     parsed = {c: F.col(f"_{c}") for c in numeric}
     parsed["salary_currency"] = F.coalesce(parsed["salary_currency"], F.lit(P.DEFAULT_CURRENCY))
     if from_text is not True:
@@ -120,15 +172,14 @@ def add_salary(df: DataFrame, from_text: Column | bool) -> DataFrame:
 
 
 def add_description(df: DataFrame) -> DataFrame:
-    return df.withColumn("description_clean", clean_text(F.col("description").cast("string")))
+    return df.withColumn("description_clean", _description_text())
 
 
 def add_experience(df: DataFrame) -> DataFrame:
     """Years and level; needs the clean title and description."""
-    source = F.col("experience").cast("string") if "experience" in df.columns else F.lit(None).cast("string")
     return computed_once(
         df,
-        P.experience(source, F.col("job_title"), F.col("description_clean")),
+        _experience("experience" in df.columns),
         {"experience_min_years": "min", "experience_max_years": "max", "experience_level": "level"},
     )
 
@@ -138,7 +189,7 @@ def add_posted_date(df: DataFrame) -> DataFrame:
     df = df.withColumn("_given_date", F.col("posted_date").isNotNull())
     df = computed_once(
         df,
-        P.posted_date(F.col("posted_date").cast("string")),
+        _posted_date(),
         {"posted_date": "iso", "posted_year": "year", "posted_month": "month", "posted_day": "day"},
     )
     return df.withColumn("_bad_date", F.col("posted_date").isNull() & F.col("_given_date")).drop("_given_date")
@@ -163,18 +214,9 @@ def add_flags(df: DataFrame) -> DataFrame:
 
 def add_categories(df: DataFrame) -> DataFrame:
     """Seniority, place, work modality, contract type and skills."""
-    df = computed_once(df, P.location(F.col("location")), {c: c for c in ("city", "state", "country")})
-    skills_type = df.schema["skills"].dataType
-    df = df.withColumns(
-        {
-            "seniority_level": P.seniority(F.col("job_title"), F.col("description")),
-            "remote_type": P.remote_type(
-                F.col("remote_type"), F.col("location"), F.col("job_title"), F.col("description_clean")
-            ),
-            "employment_type": P.employment_type(F.col("employment_type"), F.col("description_clean")),
-            "skills": P.skills(F.col("skills"), skills_type),
-        }
-    )
+    df = computed_once(df, _place(), {c: c for c in ("city", "state", "country")})
+    skills = P.skills(F.col("skills"), df.schema["skills"].dataType)
+    df = df.withColumns({**_labels(), "skills": skills})
     return df.withColumn("skills_formatted", F.array_join("skills", ", "))
 
 
