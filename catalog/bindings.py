@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postmill.sources.readers import spread
+
 POSTINGS_SQL = """
 WITH numbered AS (
   SELECT o_orderkey AS k, o_orderkey % 30 + 1 AS a, o_orderkey % 30 + 5 AS b, c_name, n_name,
@@ -77,7 +79,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw postings with text columns only, plus ``row_no``, which orders the rows."""
-    tables = {name: table(spark, sf_dir, name) for name in ("orders", "customer", "nation")}
+    tables = {name: table(spark, sf_dir, name) for name in ("customer", "nation")}
+    tables["orders"] = spread(table(spark, sf_dir, "orders"))
     return spark.sql(POSTINGS_SQL, **tables)
 
 

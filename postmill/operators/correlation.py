@@ -53,15 +53,18 @@ def _ranges(splits: Sequence[float]) -> tuple[list[float], list[int]]:
     return edges, [i for i, x in enumerate(edges) if x in hot]
 
 
-def with_average_rank(rows: DataFrame, column: str, name: str, splits: Sequence[float]) -> DataFrame:
+def with_average_rank(rows: DataFrame, plain: DataFrame, column: str, name: str,
+                      splits: Sequence[float]) -> DataFrame:
     """Add the average rank of a column to weighted rows (weight column ``w``).
 
     Ranges of values are ranked side by side. Rows of a hot value share one known rank, so
-    they need no sorting and are spread over many keys.
+    they need no sorting and are spread over many keys. ``plain`` holds the same rows before
+    counting; range sizes come from a scan of it rather than from the ranked rows.
     """
     edges, hot = _ranges(splits)
-    ranged = Bucketizer(splits=edges, inputCol=column, outputCol="range").transform(rows)
-    sizes = ranged.groupBy("range").agg(F.sum("w").alias("size"))
+    ranges = Bucketizer(splits=edges, inputCol=column, outputCol="range")
+    ranged = ranges.transform(rows)
+    sizes = ranges.transform(plain.select(column)).groupBy("range").agg(F.count("*").alias("size"))
     start = F.sum("size").over(Window.partitionBy(F.lit(0)).orderBy("range")) - F.col("size")
     starts = sizes.select("range", "size", start.alias("start"))
 
@@ -87,7 +90,7 @@ def _spearman(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     steps = [i / parts for i in range(1, parts)]
     splits = rows.approxQuantile(list(columns), steps, 0.5 / parts)
     for column, cut in zip(columns, splits):
-        ranked = with_average_rank(ranked, column, f"rank of {column}", cut)
+        ranked = with_average_rank(ranked, rows, column, f"rank of {column}", cut)
 
     # The mean rank is known, so plain weighted sums of deviations lose no precision.
     ranked = ranked.withColumn("total", total)

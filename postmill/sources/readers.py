@@ -27,6 +27,16 @@ def nulled(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     )
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread the rows of a scan with few splits over all cores, ahead of costly work per row.
+
+    A handful of files, or of CSV files that cannot be split, would keep the other cores
+    idle. Scans with at least one split per core are returned as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def _ordered(df: DataFrame) -> DataFrame:
     """Attach the position of each row: file, block, then row within the task."""
     position = F.struct(
@@ -59,7 +69,7 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], file_format: str =
         if e.getCondition() in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
             return None
         raise
-    df = _ordered(df)
+    df = spread(_ordered(df))
     return nulled(df) if file_format == "csv" else df
 
 

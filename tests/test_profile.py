@@ -16,7 +16,7 @@ def test_overview(eda):
     got = profile.overview(eda).first().asDict()
     assert got == {
         "total_job_postings": 10, "unique_companies": 5, "unique_locations": 2, "unique_job_titles": 8,
-        "unique_skills": 12, "min_date": "2026-03-01", "max_date": "2026-03-10", "remote_job_percentage": 40.0,
+        "unique_skills": 11, "min_date": "2026-03-01", "max_date": "2026-03-10", "remote_job_percentage": 40.0,
         "salary_completeness_pct": 100.0, "experience_completeness_pct": 100.0,
     }
 
