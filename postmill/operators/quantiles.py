@@ -57,19 +57,21 @@ def _slot(v: Column, edges: Column, brackets: int) -> Column:
 
 
 def exact_quantiles(df: DataFrame, value: Column, probabilities: Sequence[float],
-                    by: Sequence[str] = (), counts: DataFrame | None = None) -> DataFrame:
+                    by: Sequence[str] = (), counts: DataFrame | None = None,
+                    few_groups: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation: columns by..., q (array in the given order).
 
     ``value`` must be a DOUBLE column without NaN, and group keys must not be NULL. ``counts``
     may hand in ready value counts of the same data, for the global form. Without ``by`` there is exactly one row;
-    its q is NULL when there is no value. Probabilities must be in ascending order.
+    its q is NULL when there is no value. Probabilities must be in ascending order. Set
+    ``few_groups`` where the groups are few by construction; otherwise they are counted.
     """
     by = list(by)
     edges = df.where(value.isNotNull()).groupBy(*by).agg(_brackets(value, probabilities).alias("edges"))
     rows = df.select(*by, value.alias("v"), F.lit(1).alias("n")).dropna() if counts is None else counts
     if not by:
         located = rows.withColumn("edges", edges.scalar())
-    elif has_few_groups(df, by):
+    elif few_groups or has_few_groups(df, by):
         located = rows.join(F.broadcast(edges), by)
     else:
         located = value_counts(df, value, by).join(edges, by)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from postmill.functions.numeric import number_text, percentage, round_even, to_number
 from postmill.functions.text import UNKNOWN, is_known, is_missing_exact, strip
-from postmill.operators.describe import GROUP_STATS, grouped_stats, numeric_stats
+from postmill.operators.describe import GROUP_STATS, grouped_stats, numeric_stats, numeric_stats_of
 from postmill.operators.frequency import (
     cross_table,
     distributions,
@@ -203,13 +203,9 @@ def experience_levels(df: DataFrame) -> DataFrame:
 
 def experience_years(df: DataFrame) -> DataFrame:
     """Statistics of the minimum and maximum years: two rows told apart by ``field``."""
-    out = None
-    for column in ("experience_min_years", "experience_max_years"):
-        if column not in df.columns:
-            df = df.withColumn(column, F.lit(None).cast("double"))
-        row = numeric_stats(df, column).select(F.lit(column).alias("field"), "*")
-        out = row if out is None else out.unionByName(row)
-    return out
+    fields = ["experience_min_years", "experience_max_years"]
+    df = df.withColumns({c: F.lit(None).cast("double") for c in fields if c not in df.columns})
+    return numeric_stats_of(df, fields)
 
 
 def insights(df: DataFrame) -> DataFrame:
@@ -275,10 +271,10 @@ def _records(table: DataFrame, *columns: str) -> Column:
 
 def _ranked(table: DataFrame, key: str) -> Column:
     """A top list as an array in its order: count descending, then name."""
-    rows = table.agg(F.collect_list(F.struct((-F.col("count")).alias("o"), F.col(key), "count", "percentage"))).scalar()
-    return F.transform(
-        F.sort_array(rows), lambda r: F.struct(r[key].alias(key), r["count"].alias("count"), r["percentage"].alias("percentage"))
-    )
+    order = F.struct((-F.col("count")).alias("order"), F.col(key), "count", "percentage")
+    rows = table.agg(F.sort_array(F.collect_list(order)).alias("rows"))
+    fields = [key, "count", "percentage"]
+    return rows.select(F.transform("rows", lambda r: F.struct(*[r[f].alias(f) for f in fields]))).scalar()
 
 
 def profile_summary(df: DataFrame) -> DataFrame:
@@ -287,6 +283,7 @@ def profile_summary(df: DataFrame) -> DataFrame:
     one = lambda t: t.select(F.struct("*")).scalar()
     places = top_places(df)
     dist = job_distributions(df)
+    years = experience_years(df)
     sections = {
         "dataset_overview": one(overview(df)),
         "job_distributions": F.struct(
@@ -313,8 +310,8 @@ def profile_summary(df: DataFrame) -> DataFrame:
         ),
         "experience_summary": F.struct(
             _records(experience_levels(df)).alias("level_distribution"),
-            one(numeric_stats(df, "experience_min_years")).alias("min_years_statistics"),
-            one(numeric_stats(df, "experience_max_years")).alias("max_years_statistics"),
+            one(years.where(F.col("field") == "experience_min_years").drop("field")).alias("min_years_statistics"),
+            one(years.where(F.col("field") == "experience_max_years").drop("field")).alias("max_years_statistics"),
         ),
     }
     return _one_row(df).select(*[c.alias(name) for name, c in sections.items()])
