@@ -12,7 +12,6 @@ from postmill.operators.describe import GROUP_STATS, grouped_stats, numeric_stat
 from postmill.operators.frequency import (
     cross_table,
     distributions,
-    row_count,
     top_values,
     top_values_per_column,
 )
