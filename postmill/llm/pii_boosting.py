@@ -24,14 +24,15 @@ _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 #: Generators of candidates: kind, pattern, what a text must hold.
 _GENERATORS = (
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?(?:\(at\)|\[at\]|\{at\}| at ) ?[A-Za-z0-9-]{1,63}"
-              r"(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot ) ?[A-Za-z0-9-]{2,24}){1,4}", "at"),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{1,63}"
+              r"(?:(?:\.| ?\(dot\) ?| ?\[dot\] ?| ?\{dot\} ?| dot )[A-Za-z0-9-]{2,24}){1,4}", "at"),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} at [A-Za-z0-9-]{1,63}(?: dot [A-Za-z0-9-]{2,24}){1,4}", " dot "),
     ("card", r"(?<![0-9])[0-9]{13,19}(?![0-9])", ""),
     ("card", r"(?<![0-9])[0-9]{4}([ .-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])", ""),
     ("card", r"(?<![0-9])3[47][0-9]{2}([ .-])[0-9]{6}\1[0-9]{5}(?![0-9])", ""),
     ("phone", r"(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])", "+"),
     ("phone", r"(?<![0-9+])\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])", "+"),
-    ("phone", r"(?<![0-9+(])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])", ""),
+    ("phone", r"(?<![0-9+(])(?<!\+[0-9]{1,3} )(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])", ""),
     ("phone", r"(?<![0-9])00[0-9]{2}[ .-]?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])", ""),
     ("ip", r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:.])", ":"),
 )
@@ -141,7 +142,7 @@ def candidates(text: Column, strict: Column) -> Column:
     digits = text.rlike("[0-9]{2}")
     for kind, pattern, needs in _GENERATORS:
         ready = (F.instr(text, needs) > 0) if needs else F.lit(True)
-        ready = ready & (text.rlike(r"[(\[{ ]at[)\]} ]") if kind == "email" else digits)
+        ready = ready & (text.rlike(r"[(\[{]at[)\]}]| at ") if kind == "email" else digits)
         parts.append(F.when(ready, _described(text, kind, pattern, strict)).otherwise(F.array().cast(kind_type)))
     return F.concat(*parts)
 
@@ -173,10 +174,12 @@ contact <email:joe [at] example [dot] org> today
 contact <email:ann [at] example [dot] net> today
 mail <email:kim{at}example.net> soon
 mail <email:lee{at}example.com> soon
-we met at noon.The bell rang at six.Then we left
-she sat at home.Later he ran at it.Again
-look at this.one and stop at that.two here
-come at once.now or be at rest.then go
+write to <email:ann at example dot org> or call
+write to <email:bob at example dot net> or call
+the list (at) noon.thereafter ends
+the bell [at] six.afterwards rang
+look (at) this.one again
+stop [at] that.two here
 card <card:4111-1111-1111-1111> expires soon
 card <card:5500-0000-0000-0004> expires soon
 visa <card:4012 8888 8888 1881> was charged
@@ -201,8 +204,6 @@ time 12:30:45:11:22:33:44:55 was noted in order
 time 10:20:30:40:50:16:17:18 was noted in order
 serial 0000 0000 0000 0000 was blank
 serial 1111 1111 1111 1111 was blank
-call +1 (499) 555-0103 2222 333
-call +1 (212) 555-0188 4444 555
 figure 123 456 7890 and page 321 654 0987
 figure 234 567 8901 and page 432 765 1098
 """
