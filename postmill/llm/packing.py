@@ -6,14 +6,16 @@ import numpy as np
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    """Non-negative integers in the narrowest of four widths; the first byte names it."""
-    top = int(counts.max()) if len(counts) else 0
-    width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w - (w == 8)))
-    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+    """Non-negative integers as a byte each, and those from 255 on in full behind: most n-grams are rare."""
+    large = counts[counts >= 255].astype("<u8")
+    return len(large).to_bytes(4, "little") + large.tobytes() + np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 def unpack_counts(cell: bytes) -> np.ndarray:
-    return np.frombuffer(cell, f"<u{cell[0]}", offset=1).astype(np.int64)
+    n = int.from_bytes(cell[:4], "little")
+    counts = np.frombuffer(cell, np.uint8, offset=4 + 8 * n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(cell, "<u8", count=n, offset=4).astype(np.int64)
+    return counts
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
