@@ -229,10 +229,21 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int =
         found = search(points, nodes, neighbours, matrix, beam)
         at, column = np.nonzero(found >= 0)
         node = found[at, column]
-        score = np.array((matrix[at] * original[node]).sum(1))  # in double precision
+        score = (matrix[at] * original[node]).sum(1)  # in double precision
+        asked_ids = asked.column("vec_id").to_numpy()
+        other = asked_ids[at] != ids.to_numpy(zero_copy_only=False)[node]
+        at, node, score = at[other], node[other], score[other]
+        rank = np.unique(ids.to_numpy(zero_copy_only=False), return_inverse=True)[1][node]  # ascending with the ids
+        order = np.lexsort((-score, rank, at))  # the best row of each id first
+        at, node, score, rank = at[order], node[order], score[order], rank[order]
+        first = np.append(True, (at[1:] != at[:-1]) | (rank[1:] != rank[:-1]))[:len(at)]
+        at, node, score, rank = at[first], node[first], score[first], rank[first]
+        order = np.lexsort((rank, -score, at))
+        at, node, score = at[order], node[order], score[order]
+        best = np.arange(len(at)) - np.searchsorted(at, at) < k  # no others of this shard can be among the k best
         return pa.table({
-            "query_id": asked.column("vec_id").combine_chunks().take(pa.array(at)), "vec_id": ids.take(pa.array(node)),
-            "score": pa.array(score),
+            "query_id": asked.column("vec_id").combine_chunks().take(pa.array(at[best])),
+            "vec_id": ids.take(pa.array(node[best])), "score": pa.array(score[best]),
         })
 
     graphs = sharded.groupBy("shard").applyInArrow(
@@ -244,8 +255,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int =
     found = asked.groupBy("shard", "block").cogroup(spread.groupBy("shard", "block")).applyInArrow(
         lambda key, a, b: find(key, a, b) if len(a) and len(b) else _none(kind), f"query_id {kind}, vec_id {kind}, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
