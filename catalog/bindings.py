@@ -80,7 +80,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw postings with text columns only, plus ``row_no``, which orders the rows."""
     tables = {name: table(spark, sf_dir, name) for name in ("customer", "nation")}
-    tables["orders"] = spread(table(spark, sf_dir, "orders"))
+    tables["orders"] = spread(table(spark, sf_dir, "orders"), int(spark.conf.get("spark.sql.shuffle.partitions")))
     return spark.sql(POSTINGS_SQL, **tables)
 
 

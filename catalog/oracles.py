@@ -5,6 +5,7 @@ from __future__ import annotations
 from catalog.bindings import duckdb_postings_sql
 from catalog.spark_queries import LANGUAGES, LINE_METRICS
 
+LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LINE_METRICS]
 MISSING = "('', 'nan', 'None', 'Unknown')"
 
 
@@ -21,7 +22,7 @@ def words(text: str, *alternatives: str) -> str:
     return f"regexp_matches({text}, '\\b(?:{'|'.join(alternatives)})\\b')"
 
 
-def numeric(source: str, value: str, drop: tuple[str, ...] = ()) -> str:
+def numeric(source: str, value: str, nine_digits: tuple[str, ...] = ()) -> str:
     parts = {
         "mean": "avg(v)", "median": "quantile_cont(v, 0.5)",
         "mode": "(SELECT v FROM x GROUP BY v ORDER BY count(*) DESC, v LIMIT 1)", "min": "min(v)", "max": "max(v)",
@@ -30,7 +31,8 @@ def numeric(source: str, value: str, drop: tuple[str, ...] = ()) -> str:
         "q1": "quantile_cont(v, 0.25)", "q2": "quantile_cont(v, 0.5)", "q3": "quantile_cont(v, 0.75)",
         "iqr": "quantile_cont(v, 0.75) - quantile_cont(v, 0.25)",
     }
-    columns = ", ".join(f'{rnd(sql, 4)} AS "{name}"' for name, sql in parts.items() if name not in drop)
+    shown = {name: f"printf('%.8e', {sql})" if name in nine_digits else rnd(sql, 4) for name, sql in parts.items()}
+    columns = ", ".join(f'{sql} AS "{name}"' for name, sql in shown.items())
     return (
         f"WITH x AS (SELECT {value}::DOUBLE AS v FROM {source} WHERE {value} IS NOT NULL) "
         f'SELECT count(v) AS "count", {columns} FROM x'
@@ -113,6 +115,7 @@ def top_per_column(source: str, columns: list[str], limit: int) -> str:
 
 def cross(source: str, row: str, column: str, values: list[str], limit: int) -> str:
     counts = ", ".join(f"count(*) FILTER ({column} = '{v}') AS \"{v}\"" for v in values)
+    counts += f", count(*) FILTER ({column} NOT IN ({', '.join(repr(v) for v in values)})) AS other"
     return f"""SELECT {row}, {counts} FROM {source} WHERE {column} IS NOT NULL AND {row} IN (
       SELECT trim({row}) FROM {source} WHERE trim({row}) NOT IN {MISSING}
       GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT {limit}) GROUP BY {row}"""
@@ -268,6 +271,9 @@ SKILLS = """array_to_string(list_filter(list_transform(regexp_split_to_array(coa
   lambda x: trim(x)), lambda x, i: x <> '' AND list_position(list_transform(
   regexp_split_to_array(coalesce("keySkills", ''), '[,|;\\n]'), lambda y: trim(y)), x) = i), ', ')"""
 
+RAW_COLUMNS = ["jobId", "jobTitle", "companyName", "jobLocation", "workMode", "jobType", "salaryRange", "experienceLevel",
+               "jobDescription", "postedDate", "keySkills"]
+DIGEST = "sha256(" + " || ".join(f"coalesce(length(\"{c}\")::VARCHAR || ':' || \"{c}\", '-')" for c in RAW_COLUMNS) + ")"
 RAW = f"WITH raw AS ({duckdb_postings_sql()})"
 KEYED = f"""{RAW}, texts AS (SELECT *, {plain('"jobTitle"')} AS job_title, {plain('"companyName"')} AS company0,
     {plain('"jobLocation"')} AS location0, {plain('"jobDescription"')} AS description_clean FROM raw),
@@ -290,7 +296,7 @@ CLEAN = f"""{KEYED}, {salary('keyed')}, {experience('keyed', '"experienceLevel"'
   labels3 AS (SELECT *, {EMPLOYMENT} AS employment_type FROM (SELECT * EXCLUDE (t),
     {joined('"jobType"', 'description_clean')} AS t FROM labels2)),
   clean AS (SELECT *, {SKILLS} AS skills_formatted, "salaryRange" AS raw_salary_string,
-    coalesce(nullif(trim("jobId"), ''), 'job_') AS job_id,
+    coalesce(nullif(trim("jobId"), ''), 'job_' || {DIGEST}) AS job_id,
     CASE WHEN bad_experience AND bad_date THEN 'INVALID_EXPERIENCE_RANGE, INVALID_DATE_FORMAT'
       WHEN bad_experience THEN 'INVALID_EXPERIENCE_RANGE' WHEN bad_date THEN 'INVALID_DATE_FORMAT' ELSE 'VALID' END
       AS validation_flags FROM labels3),
@@ -308,17 +314,25 @@ CLEAN_COLUMNS = """job_id, job_title, seniority_level, company, location, city,
   experience_level, employment_type, description_clean, posted_date, posted_year, posted_month, posted_day,
   validation_flags, skills_formatted, raw_salary_string"""
 
-TEXT_COLUMNS = ["job_title", "company", "location", "city", "state", "remote_type", "experience_level", "employment_type",
-                "description_clean", "posted_date", "skills_formatted", "seniority_level"]
-NUMBER_COLUMNS = ["salary_min", "salary_midpoint", "posted_year"]
+# Every column of the clean table; those that SQL spells differently with their expression.
+TEXT_COLUMNS = {c: c for c in [
+    "job_id", "job_title", "seniority_level", "company", "location", "city", "state", "country", "remote_type",
+    "salary_currency", "salary_period", "experience_level", "employment_type", "description_clean", "posted_date",
+    "validation_flags", "raw_salary_string", "skills_formatted"]}
+TEXT_COLUMNS |= {"description": '"jobDescription"', "experience": '"experienceLevel"', "salaryRange": '"salaryRange"'}
+OTHER_COLUMNS = {c: c for c in [
+    "salary_min", "salary_max", "salary_midpoint", "experience_min_years", "experience_max_years", "posted_year",
+    "posted_month", "posted_day"]} | {"posted_dt": "posted_date"}
 
 
-def missing_table(columns: str, any_case: bool, select: str) -> str:
+def missing_table(any_case: bool, select: str) -> str:
+    """Missing cells per column; an empty list counts as missing in the any-case form only."""
     parts = []
-    for c in TEXT_COLUMNS:
-        test = f"lower(trim({c})) IN ('', 'nan', 'none', 'unknown')" if any_case else f"trim({c}) IN {MISSING}"
-        parts.append((c, f"{c} IS NULL OR {test}"))
-    parts += [(c, f"{c} IS NULL") for c in NUMBER_COLUMNS] + [("skills", "skills_formatted = ''")]
+    for c, sql in TEXT_COLUMNS.items():
+        test = f"lower(trim({sql})) IN ('', 'nan', 'none', 'unknown')" if any_case else f"trim({sql}) IN {MISSING}"
+        parts.append((c, f"{sql} IS NULL OR {test}"))
+    parts += [(c, f"{sql} IS NULL") for c, sql in OTHER_COLUMNS.items()]
+    parts.append(("skills", "skills_formatted = ''" if any_case else "false"))
     union = " UNION ALL ".join(
         f"SELECT '{c}' AS \"Column\", count(*) AS n, count(*) FILTER ({test}) AS missing FROM clean" for c, test in parts
     )
@@ -377,22 +391,16 @@ GROUPS = " UNION ALL ".join(
 
 INSIGHTS = f"""{CLEAN}, o AS ({OVERVIEW}), t AS ({top('clean', 'job_title', 1, "('Unknown')")}),
   m AS (SELECT count(salary_midpoint) AS n, {rnd('quantile_cont(salary_midpoint, 0.5)', 4)} AS med FROM clean)
-  SELECT 'Dominant Job Position' AS topic,
-    'The job title ''' || job_title || ''' represents the single largest title category in the dataset.' AS finding,
-    t."count" || ' out of ' || total_job_postings || ' job postings (' || percentage || '%) belong to this role.' AS evidence,
-    'High posting concentration in ''' || job_title || ''' reflects strong operational hiring demand for this functional specialization.' AS interpretation,
-    'Reflects the specific dataset distribution and should not be assumed as universal market demand across all industries.' AS limitation
-  FROM o, t UNION ALL
-  SELECT 'Work Modality Prevalence', 'Remote work opportunities represent ' || remote_job_percentage || '% of total analyzed job postings.',
-    'Calculated dynamically from ' || total_job_postings || ' posting records.',
-    'Provides empirical baseline on post-pandemic remote/hybrid adoption in this market segment.',
-    'Work modality tags depend on employer posting transparency; unspecified modalities default to Onsite/Unknown.'
-  FROM o UNION ALL
-  SELECT 'Compensation Transparency & Median Pay', 'Salary information is disclosed in ' || salary_completeness_pct ||
-      '% of job postings, with a median midpoint of ' || med || ' INR/annual equivalent.',
-    n || ' out of ' || total_job_postings || ' postings provide parseable salary bounds.',
-    'Employers disclosing compensation ranges allow baseline median pay benchmarking across experience levels.',
-    'Optional salary disclosures may suffer from self-selection bias where higher or lower paying roles omit salary details.'
+  SELECT 'Most frequent title' AS topic, '''' || job_title || ''' is the title that occurs most often.' AS finding,
+    t."count" || ' of ' || total_job_postings || ' postings carry it (' || percentage || '%).' AS evidence,
+    'Demand in this table centres on that title.' AS interpretation,
+    'Holds for the postings at hand, not for a whole market.' AS limitation FROM o, t UNION ALL
+  SELECT 'Remote share', remote_job_percentage || '% of the postings are remote.',
+    'Counted over ' || total_job_postings || ' postings.', 'Shows how common remote work is here.',
+    'A posting that names no modality does not count as remote.' FROM o UNION ALL
+  SELECT 'Stated pay', salary_completeness_pct || '% of the postings state a salary; the median is ' || med || '.',
+    n || ' of ' || total_job_postings || ' postings have a usable amount.', 'Gives a first point of reference for pay.',
+    'Employers choose whether to state pay, so the median may be biased.'
   FROM o, m"""
 
 HISTOGRAM = f"""WITH e AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders),
@@ -419,7 +427,7 @@ BOX = f"""WITH q AS (SELECT o_orderpriority AS p, quantile_cont(o_totalprice, 0.
   FROM x GROUP BY o_orderpriority"""
 
 ORACLES: dict[str, str] = {
-    "numerical_stats": numeric("lineitem", "l_quantity"),
+    "numerical_stats": numeric("lineitem", "l_extendedprice", ("std", "variance")),
     "numerical_stats_events": numeric("events", "value"),
     "categorical_stats": f"""WITH c AS (SELECT trim(o_orderpriority) AS v, count(*) AS n FROM orders GROUP BY 1),
       p AS (SELECT * FROM c WHERE v IS NOT NULL AND v NOT IN {MISSING}),
@@ -459,6 +467,9 @@ ORACLES: dict[str, str] = {
       "jobLocation" AS location, "workMode" AS remote_type, "jobType" AS employment_type, "experienceLevel" AS experience,
       "jobDescription" AS description, "postedDate" AS posted_date, "keySkills" AS skills,
       "salaryRange" AS raw_salary_string, NULL::DOUBLE AS salary_min, NULL::VARCHAR AS country FROM raw""",
+    "normalize_columns_titlecase": f"""{RAW} SELECT row_no, "jobTitle" AS job_title, "jobLocation" AS location,
+      "workMode" AS "State__raw", "jobType" AS "City__raw", "salaryRange" AS "Salary_Period__raw",
+      NULL::VARCHAR AS city, NULL::VARCHAR AS state FROM raw""",
     "clean_text": f"""SELECT page_id, length(t) AS n_chars, md5(t) AS text_md5
       FROM (SELECT page_id, {plain('html')} AS t FROM pages)""",
     "clean_titles": f"""{RAW} SELECT row_no, {plain('"jobTitle"')} AS job_title FROM raw""",
@@ -476,11 +487,11 @@ ORACLES: dict[str, str] = {
     "clean_postings": f"{CLEAN} SELECT {CLEAN_COLUMNS} FROM clean",
     "cleaning_counts": f"{CLEAN} SELECT * FROM counts",
     "missing_values": missing_table(
-        "", True, f'"Column", n - missing AS "Non_Null_Count", missing AS "Missing_Count", {pct("missing", "n")} '
+        True, f'"Column", n - missing AS "Non_Null_Count", missing AS "Missing_Count", {pct("missing", "n")} '
         'AS "Missing_Percentage"'),
     "top_missing": missing_table(
-        "", False, '"Column", missing::DOUBLE / n::DOUBLE * 100.0::DOUBLE AS "Missing_Pct"')
-        + ' ORDER BY 2 DESC, 1 LIMIT 8',
+        False, '"Column", missing::DOUBLE / n::DOUBLE * 100.0::DOUBLE AS "Missing_Pct"')
+        + ' ORDER BY 2 DESC, 1 LIMIT 12',
     "quality_score": f"{SCORES} SELECT * FROM scores",
     "before_after": BEFORE_AFTER,
     "score_breakdown": f"""{SCORES} SELECT unnest(['Completeness', 'Validity', 'Uniqueness', 'Consistency', 'OVERALL'])
@@ -493,7 +504,7 @@ ORACLES: dict[str, str] = {
     "company_summary": f"{CLEAN}, " + sizes("clean", "company").removeprefix("WITH "),
     "top_places": f"{CLEAN} " + top_per_column("clean", ["city", "state", "country"], 15),
     "remote_by_city": f"{CLEAN} " + cross("clean", "city", "remote_type", ["Remote", "Hybrid", "Onsite", "Unknown"], 10),
-    "salary_overall": f"{CLEAN}, " + numeric("clean", "salary_midpoint", ("variance", "std")).removeprefix("WITH ").replace(
+    "salary_overall": f"{CLEAN}, " + numeric("clean", "salary_midpoint", ("std", "variance")).removeprefix("WITH ").replace(
         " FROM x", ", 'salary_midpoint' AS target_column_used FROM x").replace(
         "(SELECT v, 'salary_midpoint' AS target_column_used FROM x", "(SELECT v FROM x"),
     "salary_by_group": f"{CLEAN} {GROUPS}",
@@ -506,5 +517,5 @@ ORACLES: dict[str, str] = {
     "chart_histogram": HISTOGRAM,
     "chart_density": DENSITY,
     "chart_box": BOX,
-    "chart_heatmap": pearson("lineitem", ["l_quantity", "l_discount", "l_tax"]),
+    "chart_heatmap": pearson("lineitem", LINE_NUMBERS),
 }

@@ -70,17 +70,12 @@ def _labelled(name: str, expression) -> Query:
 
 
 def _clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean table; derived ids differ by engine and are cut to their prefix, lists are text."""
-    clean = _cleaned(spark, sf_dir).postings
-    derived = F.col("job_id").startswith("job_")
-    return clean.select(
-        F.when(derived, "job_").otherwise(F.col("job_id")).alias("job_id"),
-        *[c for c in clean.columns if c in _CLEAN_COLUMNS],
-    )
+    """The clean table; lists are text."""
+    return _cleaned(spark, sf_dir).postings.select(*_CLEAN_COLUMNS)
 
 
 _CLEAN_COLUMNS = [
-    "job_title", "seniority_level", "company", "location", "city", "state", "country", "remote_type", "salary_min",
+    "job_id", "job_title", "seniority_level", "company", "location", "city", "state", "country", "remote_type", "salary_min",
     "salary_max", "salary_currency", "salary_period", "salary_midpoint", "experience_min_years",
     "experience_max_years", "experience_level", "employment_type", "description_clean", "posted_date",
     "posted_year", "posted_month", "posted_day", "validation_flags", "skills_formatted", "raw_salary_string",
@@ -110,12 +105,23 @@ def _duplicate_documents(documents: DataFrame) -> DataFrame:
     return count_exact_duplicates(documents.drop("doc_id"))
 
 
+def _nine_digits(stats: DataFrame) -> DataFrame:
+    """Statistics with squares as texts of nine significant digits, which is what double sums are good for."""
+    return stats.withColumns({c: F.format_string("%.8e", F.col(c)) for c in ("std", "variance")})
+
+
 def _salary_overall(clean: DataFrame) -> DataFrame:
-    """Overall salary statistics without the variance, which exceeds double precision at 4 digits."""
     p = profile.salary_profile(clean)
-    return p.overall.drop("variance", "std").withColumn(
-        "target_column_used", p.target.select("target_column_used").scalar()
-    )
+    return _nine_digits(p.overall).withColumn("target_column_used", p.target.select("target_column_used").scalar())
+
+
+def _title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers that differ from canonical names in case only, and two columns for one target."""
+    raw = raw_postings(spark, sf_dir).select(
+        "row_no", F.col("jobTitle").alias("Job Title"), F.col("jobLocation").alias("Location"),
+        F.col("workMode").alias("State"), F.col("jobType").alias("City"), F.col("salaryRange").alias("Salary_Period"))
+    named, _ = normalize_columns(raw)
+    return named.select("row_no", "job_title", "location", "State__raw", "City__raw", "Salary_Period__raw", "city", "state")
 
 
 def _density(events: DataFrame) -> DataFrame:
@@ -139,7 +145,7 @@ def _histogram(orders: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # statistics
-    "numerical_stats": _on("lineitem", lambda t: numeric_stats(t, "l_quantity")),
+    "numerical_stats": _on("lineitem", lambda t: _nine_digits(numeric_stats(t, "l_extendedprice"))),
     "numerical_stats_events": _on("events", lambda t: numeric_stats(t, "value")),
     "categorical_stats": _on("orders", lambda t: categorical_stats(t, "o_orderpriority")),
     "grouped_stats": _on("lineitem", lambda t: grouped_stats(t, "l_returnflag", "l_extendedprice")),
@@ -167,6 +173,7 @@ QUERIES: dict[str, Query] = {
     ),
     # schema and field parsers
     "normalize_columns": _normalized,
+    "normalize_columns_titlecase": _title_case,
     "clean_text": _on("pages", _page_texts),
     "clean_titles": _labelled("job_title", lambda: clean_text(F.col("jobTitle"))),
     "seniority": _labelled("seniority_level", lambda: P.seniority(F.col("jobTitle"), F.col("jobDescription"))),
@@ -198,10 +205,10 @@ QUERIES: dict[str, Query] = {
     # cleaning and quality
     "clean_postings": _clean_rows,
     "cleaning_counts": lambda spark, d: _cleaned(spark, d).counts,
-    "missing_values": _on_clean(lambda c: quality.missing_values(c.select("job_title", *_QUALITY_COLUMNS))),
+    "missing_values": _on_clean(quality.missing_values),
     "quality_score": _on_clean_and_counts(quality.quality_scores),
     "before_after": _on_clean_and_counts(quality.before_after),
-    "top_missing": _on_clean(lambda c: quality.top_missing(c.select("job_title", *_QUALITY_COLUMNS), 8)),
+    "top_missing": _on_clean(quality.top_missing),
     "score_breakdown": _on_clean_and_counts(lambda c, n: quality.score_breakdown(quality.quality_scores(c, n))),
     # profile
     "overview": _on_clean(profile.overview),
@@ -222,11 +229,5 @@ QUERIES: dict[str, Query] = {
     "chart_histogram": _on("orders", _histogram),
     "chart_density": _on("events", _density),
     "chart_box": _on("orders", _box),
-    "chart_heatmap": _on("lineitem", lambda t: charts.correlation_heatmap(t.select("l_quantity", "l_discount", "l_tax"))),
+    "chart_heatmap": _on("lineitem", charts.correlation_heatmap),
 }
-
-_QUALITY_COLUMNS = [
-    "company", "location", "city", "state", "remote_type", "salary_min", "salary_midpoint", "experience_level",
-    "employment_type", "description_clean", "posted_date", "posted_year", "skills_formatted", "skills",
-    "seniority_level",
-]

@@ -49,7 +49,7 @@ def _ranges(splits: Sequence[float]) -> tuple[list[float], list[int]]:
     """
     hot = {a for a, b in zip(splits, splits[1:]) if a == b}
     inner = {x for x in splits} | {math.nextafter(x, math.inf) for x in hot}
-    edges = sorted({-math.inf, math.inf, *inner})
+    edges = sorted({-math.inf, math.inf, *(inner or {0.0})})  # without rows there are no splits
     return edges, [i for i, x in enumerate(edges) if x in hot]
 
 

@@ -106,8 +106,13 @@ def grouped_stats(df: DataFrame, group: str | list[str], target: str, min_group_
 
     NULL groups and values that are not numbers are left out, as are groups with fewer than
     ``min_group_size`` values. A single value has std 0. Several group columns are allowed.
+    A column the frame lacks gives an empty result.
     """
     groups = [group] if isinstance(group, str) else list(group)
+    if not {*groups, target} <= set(df.columns):
+        kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        names = [f"`{g}` {kinds.get(g, 'string')}" for g in groups]
+        return df.sparkSession.createDataFrame([], ", ".join([*names, "count bigint", *[f"{c} double" for c in GROUP_STATS[1:]]]))
     rows = df.select(*groups, _number(df, target).alias("v")).dropna()
     stats = rows.groupBy(*groups).agg(
         F.count("v").alias("count"),

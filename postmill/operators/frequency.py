@@ -69,10 +69,11 @@ def top_values_per_column(df: DataFrame, columns: Sequence[str], limit: int) ->
 def cross_table(df: DataFrame, row: str, column: str, column_values: Sequence[str], limit: int = 10) -> DataFrame:
     """Counts of one column's values for the most frequent values of another, 0 where none.
 
-    A row of the result needs at least one row with a non-NULL column value.
+    A row of the result needs at least one row with a non-NULL column value. Values outside the list are
+    counted in the column ``other``.
     """
     top = top_values(df, row, limit).select(row)
     cells = df.select(row, column).where(F.col(column).isNotNull())
     kept = cells.join(F.broadcast(top), row, "left_semi")  # top holds at most `limit` rows
-    table = kept.groupBy(row).pivot(column, list(column_values)).agg(F.count(F.lit(1)))
-    return table.na.fill(0, list(column_values))
+    counts = [F.count_if(F.col(column) == v).alias(v) for v in column_values]
+    return kept.groupBy(row).agg(*counts, F.count_if(~F.col(column).isin(*column_values)).alias("other"))

@@ -37,13 +37,15 @@ def map_columns(columns: Sequence[str], custom: Mapping[str, str] | None = None)
     """Choose a target for each raw column; every target is used at most once.
 
     Custom pairs come first and count only if the raw column exists and the target is
-    canonical. Then a column already carrying its target's own name is preferred, then the
+    canonical; the first of several pairs for one target counts. Then a column already carrying its target's own name is preferred, then the
     raw columns in order.
     """
-    targets: dict[str, str] = {
-        raw: target for raw, target in (custom or {}).items() if raw in columns and target in CANONICAL_TYPES
-    }
-    taken = set(targets.values())
+    targets: dict[str, str] = {}
+    taken: set[str] = set()
+    for raw, target in (custom or {}).items():
+        if raw in columns and target in CANONICAL_TYPES and target not in taken:
+            targets[raw] = target
+            taken.add(target)
     exact_first = sorted(columns, key=lambda c: c != _TARGET_OF.get(plain_name(c)))
     for raw in exact_first:
         target = _TARGET_OF.get(plain_name(raw))
@@ -61,12 +63,18 @@ def _spelled(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _leftover(raw: str, used: set[str]) -> str:
+    """Name of a column without a target: its own, unless Spark would take it for another one."""
+    low = raw.lower()
+    return f"{raw}__raw" if low in used or (raw != low and low in CANONICAL_TYPES) else raw
+
+
 def normalize_columns(df: DataFrame, custom: Mapping[str, str] | None = None,
                       strict: bool = False) -> tuple[DataFrame, ColumnMapping]:
     """Rename, copy the salary text and add absent canonical columns as NULL, in one select.
 
-    Columns without a target stay, unless ``strict``. One that would collide with a target
-    name is kept as ``<name>__raw``.
+    Columns without a target stay, unless ``strict``. One that would collide with a target, or
+    with another canonical name but for its case, is kept as ``<name>__raw``: names are compared as Spark does.
     """
     mapping = map_columns([c for c in df.columns if c != ORDER_COLUMN], custom)
     used = set(mapping.targets.values())
@@ -76,9 +84,9 @@ def normalize_columns(df: DataFrame, custom: Mapping[str, str] | None = None,
         if name is None:
             if strict and raw != ORDER_COLUMN:
                 continue
-            name = f"{raw}__raw" if raw in used else raw
+            name = _leftover(raw, used)
         selected.append(F.col(_spelled(raw)).alias(name))
-        present.add(name)
+        present.add(name.lower())
     if mapping.salary_text is not None:
         source = mapping.salary_text
         text = as_text(F.col(_spelled(source)), df.schema[source].dataType)
@@ -103,8 +111,8 @@ def rename_columns(df: DataFrame, custom: Mapping[str, str] | None = None) -> Da
             selected.append(c)
             continue
         name = names.get(field.name, field.name)
-        if field.name not in names and field.name in names.values():
-            name = f"{field.name}__raw"
+        if field.name not in names:
+            name = _leftover(field.name, set(names.values()))
         if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StringType):
             text = F.array_join(c, "|")
         else:

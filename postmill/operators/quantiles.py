@@ -19,8 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ACCURACY = 10_000
-FEW_GROUPS = 10_000
 _SLICES = 1_024
+# Shares into which the rows of each group are cut for joins against one record per group.
+_SALTS = 16
 
 
 def value_counts(df: DataFrame, value: Column, by: Sequence[str] = ()) -> DataFrame:
@@ -33,9 +34,11 @@ def value_counts(df: DataFrame, value: Column, by: Sequence[str] = ()) -> DataFr
     )
 
 
-def has_few_groups(df: DataFrame, by: Sequence[str]) -> bool:
-    """Check by counting that one small record per group may be broadcast."""
-    return df.select(*by).distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+def join_salted(counts: DataFrame, records: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Join value counts (column v) with one small record per key, a hot key being cut into shares by value."""
+    salted = counts.withColumn("_salt", F.pmod(F.xxhash64("v"), F.lit(_SALTS)).cast("int"))
+    copies = records.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return salted.join(copies, [*on, "_salt"]).drop("_salt")
 
 
 def _brackets(value: Column, probabilities: Sequence[float]) -> Column:
@@ -64,17 +67,19 @@ def exact_quantiles(df: DataFrame, value: Column, probabilities: Sequence[float]
     ``value`` must be a DOUBLE column without NaN, and group keys must not be NULL. ``counts``
     may hand in ready value counts of the same data, for the global form. Without ``by`` there is exactly one row;
     its q is NULL when there is no value. Probabilities must be in ascending order. Set
-    ``few_groups`` where the groups are few by construction; otherwise they are counted.
+    ``few_groups`` only where the groups are few by construction, such as columns of a list; they are
+    broadcast. Otherwise there is one plan for any number of groups: values are counted per group before
+    they meet the record of their group. No job runs while the plan is built.
     """
     by = list(by)
     edges = df.where(value.isNotNull()).groupBy(*by).agg(_brackets(value, probabilities).alias("edges"))
     rows = df.select(*by, value.alias("v"), F.lit(1).alias("n")).dropna() if counts is None else counts
     if not by:
         located = rows.withColumn("edges", edges.scalar())
-    elif few_groups or has_few_groups(df, by):
+    elif few_groups:
         located = rows.join(F.broadcast(edges), by)
     else:
-        located = value_counts(df, value, by).join(edges, by)
+        located = join_salted(value_counts(df, value, by), edges, by)
     slot = _slot(F.col("v"), F.col("edges"), len(probabilities))
     located = located.select(*by, slot.alias("slot"), "v", "n")
 
@@ -103,10 +108,12 @@ def exact_quantiles(df: DataFrame, value: Column, probabilities: Sequence[float]
         (F.col("before") + F.col("slot_n")).alias("end"),
     )
     unsettled = hits.where(~one_value).select(*by, "slot", "before", "total")
-    if not by:
-        unsettled = F.broadcast(unsettled)  # no more rows than wanted ranks
+    if not by or few_groups:
+        wanted = located.join(F.broadcast(unsettled), [*by, "slot"])  # no more rows than wanted ranks
+    else:
+        wanted = join_salted(located, unsettled, [*by, "slot"])
     in_slot = Window.partitionBy(*by, "slot").orderBy("v")
-    ranked = located.join(unsettled, [*by, "slot"]).groupBy(*by, "slot", "before", "total", "v").agg(
+    ranked = wanted.groupBy(*by, "slot", "before", "total", "v").agg(
         F.sum("n").alias("n")
     )
     ranked = ranked.withColumn("end", F.col("before") + F.sum("n").over(in_slot))

@@ -8,12 +8,12 @@ from postmill.functions.numeric import to_number
 from postmill.functions.text import UNKNOWN
 from postmill.operators.correlation import correlations, metric_columns
 from postmill.operators.frequency import distributions, top_values
-from postmill.operators.quantiles import exact_quantiles, value_counts
+from postmill.operators.quantiles import exact_quantiles, join_salted, value_counts
 from postmill.plans.profile import experience_levels, salary_target, top_companies, top_titles
 
 HISTOGRAM_BINS = 20
 DENSITY_POINTS = 200
-_DENSITY_BINS = 2_048
+DENSITY_BINS = 2_048
 
 
 def shares(df: DataFrame, column: str) -> DataFrame:
@@ -44,11 +44,12 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFra
     )
 
 
-def density(df: DataFrame, column: str, points: int = DENSITY_POINTS) -> DataFrame:
+def density(df: DataFrame, column: str, points: int = DENSITY_POINTS, bins: int = DENSITY_BINS) -> DataFrame:
     """Gaussian density curve over the range of the values: x, density.
 
-    Values are first counted in 2,048 fine bins, so the curve costs a fixed amount of work
-    beyond one pass. The bandwidth is n^(-1/5) sample standard deviations.
+    Values are first counted in ``bins`` fine bins and stand at the mean of their bin, so the curve costs a
+    fixed amount of work beyond one pass. The bandwidth h is n^(-1/5) sample standard deviations; as the first
+    order cancels, each value moves its kernel by at most (w/h)^2/8 of the kernel's height, w being a bin's width.
     """
     values = df.select(to_number(F.col(column), df.schema[column].dataType).alias("v")).dropna()
     ends = values.agg(
@@ -58,7 +59,7 @@ def density(df: DataFrame, column: str, points: int = DENSITY_POINTS) -> DataFra
         )
     ).scalar()
     fine = values.withColumn("e", ends)
-    fine = fine.groupBy(_bin(F.col("v"), F.col("e.low"), F.col("e.high"), _DENSITY_BINS).alias("bin")).agg(
+    fine = fine.groupBy(_bin(F.col("v"), F.col("e.low"), F.col("e.high"), bins).alias("bin")).agg(
         F.avg("v").alias("center"), F.count("*").alias("weight")
     )
     step = (F.col("e.high") - F.col("e.low")) / (points - 1)
@@ -84,7 +85,7 @@ def box_plot(df: DataFrame, group: str, column: str) -> DataFrame:
     reach = 1.5 * (q3 - q1)
     within = F.col("v").between(q1 - reach, q3 + reach)
     # Equal values are counted before the join, so a hot group sends its distinct values only.
-    counts = value_counts(rows, F.col("v"), [group]).join(boxes, group)
+    counts = join_salted(value_counts(rows, F.col("v"), [group]), boxes, [group])
     return counts.groupBy(group).agg(
         F.sum("n").alias("count"),
         F.first(q1).alias("q1"),

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postmill.functions import postings as P
 from postmill.functions.numeric import to_number
-from postmill.functions.text import as_text, clean_text, computed_once, strip
-from postmill.operators.duplicates import count_exact_duplicates, count_groups, keep_first, row_digest
+from postmill.functions.text import clean_text, computed_once, strip
+from postmill.operators.duplicates import count_exact_duplicates, keep_first, row_digest
 from postmill.operators.mapping import ColumnMapping, normalize_columns
 from postmill.schema import CANONICAL_COLUMNS, ORDER_COLUMN
 
@@ -84,25 +84,24 @@ def _labels() -> dict[str, Column]:
 def with_order(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Attach the row order that decides which duplicate comes first.
 
-    File readers of this package attach it already. Otherwise name columns that order the
-    rows; without any, the current position of the rows is taken.
+    File readers of this package attach it already. For other frames name columns that order the rows: their
+    current position would differ from run to run.
     """
     if order_by:
         return raw.withColumn(ORDER_COLUMN, F.struct(*order_by))
     if ORDER_COLUMN in raw.columns:
         return raw
-    return raw.withColumn(ORDER_COLUMN, F.struct(F.monotonically_increasing_id().alias("row")))
+    raise ValueError("name the columns that order the rows (order_by), or read files with this package's readers")
 
 
-def with_job_id(df: DataFrame, raw_columns: Sequence[str], id_source: str | None, hex_digits: int = 10) -> DataFrame:
-    """Add ``_job_id``: the given id, or one derived from the row and its position.
+def with_job_id(df: DataFrame, raw_columns: Sequence[str], id_source: str | None, hex_digits: int = 64) -> DataFrame:
+    """Add ``_job_id``: the given id, or one derived from the values of the row.
 
-    Derived ids are the same in every run. Ten digits keep the usual format; take more when
-    the number of postings without an id goes into the millions.
+    Derived ids depend on nothing but the values, so they are the same in every run, whatever the splits of the
+    files. Rows that are equal throughout get equal ids, and only one of them survives the removal of duplicates.
+    Fewer than all 64 digits may collide.
     """
-    order = as_text(F.col(ORDER_COLUMN), df.schema[ORDER_COLUMN].dataType)
-    derived = F.sha2(F.concat(row_digest(df, raw_columns), order), 256)
-    derived = F.concat(F.lit("job_"), F.substring(derived, 1, hex_digits))
+    derived = F.concat(F.lit("job_"), F.substring(row_digest(df, raw_columns), 1, hex_digits))
     if id_source is None:
         return df.withColumn("_job_id", derived)
     given = strip(F.col(f"`{id_source}`").cast("string"))
@@ -185,13 +184,14 @@ def add_experience(df: DataFrame) -> DataFrame:
 
 
 def add_posted_date(df: DataFrame) -> DataFrame:
-    """ISO date with its parts, and ``_bad_date`` where a raw value could not be read."""
+    """ISO date as text and as DATE with its parts, and ``_bad_date`` where a raw value could not be read."""
     df = df.withColumn("_given_date", F.col("posted_date").isNotNull())
     df = computed_once(
         df,
         _posted_date(),
         {"posted_date": "iso", "posted_year": "year", "posted_month": "month", "posted_day": "day"},
     )
+    df = df.withColumn("posted_dt", F.try_to_date("posted_date", "yyyy-MM-dd"))
     return df.withColumn("_bad_date", F.col("posted_date").isNull() & F.col("_given_date")).drop("_given_date")
 
 
@@ -222,7 +222,7 @@ def add_categories(df: DataFrame) -> DataFrame:
 
 def clean_postings(raw: DataFrame, custom_mapping: Mapping[str, str] | None = None,
                    order_by: Sequence[str] | None = None, strict: bool = False,
-                   id_hex_digits: int = 10) -> CleanedPostings:
+                   id_hex_digits: int = 64) -> CleanedPostings:
     """Clean, parse, validate and deduplicate raw postings.
 
     ``order_by`` names the columns that order the raw rows; they are not part of a posting.
@@ -243,32 +243,29 @@ def clean_postings(raw: DataFrame, custom_mapping: Mapping[str, str] | None = No
     extras = [c for c in parsed.columns if c not in CANONICAL_COLUMNS and c != ORDER_COLUMN]
     postings = parsed.select(*CANONICAL_COLUMNS, *[f"`{c}`" for c in extras])
 
-    counts = _cleaning_counts(ordered, raw_columns, keyed, valid, from_text)
+    counts = _cleaning_counts(ordered, raw_columns, keyed, from_text)
     return CleanedPostings(postings, counts, mapping)
 
 
-def _cleaning_counts(raw: DataFrame, raw_columns, keyed: DataFrame, valid: DataFrame, from_text) -> DataFrame:
-    """Cleaning counts as one row; rules are counted before duplicates are removed."""
+def _cleaning_counts(raw: DataFrame, raw_columns, keyed: DataFrame, from_text) -> DataFrame:
+    """Cleaning counts as one row; rules are counted before duplicates are removed.
+
+    Two passes: one over digests of raw rows, one that parses each row and adds its flags up per duplicate key.
+    """
     checked = add_posted_date(add_experience(add_salary(add_description(keyed), from_text)))
-    titled = F.col("job_title") != ""
+    flags = {"invalid_salaries": "INVALID_SALARY_RANGE", "invalid_experiences": "INVALID_EXPERIENCE_RANGE",
+             "invalid_dates": "INVALID_DATE_FORMAT"}
     broken = _rules()
-    rows = checked.agg(
-        F.count("*").alias("initial_rows"),
-        F.count_if(~titled).alias("dropped_missing_title"),
-        F.count_if(titled & broken["INVALID_SALARY_RANGE"]).alias("invalid_salaries"),
-        F.count_if(titled & broken["INVALID_EXPERIENCE_RANGE"]).alias("invalid_experiences"),
-        F.count_if(titled & broken["INVALID_DATE_FORMAT"]).alias("invalid_dates"),
+    groups = checked.groupBy(*DUPLICATE_KEY).agg(
+        F.count("*").alias("n"), *[F.count_if(broken[flag]).alias(name) for name, flag in flags.items()])
+    titled = F.col("job_title") != ""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    row = groups.agg(
+        total(F.col("n")).alias("initial_rows"),
+        total(F.when(~titled, F.col("n"))).alias("dropped_missing_title"),
+        total(F.when(titled, F.col("n") - 1)).alias("likely_duplicates"),
+        F.count_if(titled).alias("processed_rows"),
+        *[total(F.when(titled, F.col(name))).alias(name) for name in flags],
     )
     exact = count_exact_duplicates(raw.select(*[f"`{c}`" for c in raw_columns])).scalar()
-    likely = count_groups(valid, DUPLICATE_KEY).select(F.struct("groups", "repeats")).scalar()
-    row = rows.withColumn("exact_duplicates", exact).withColumn("_likely", likely)
-    return row.select(
-        "initial_rows",
-        "dropped_missing_title",
-        "exact_duplicates",
-        F.col("_likely.repeats").alias("likely_duplicates"),
-        F.col("_likely.groups").alias("processed_rows"),
-        "invalid_salaries",
-        "invalid_experiences",
-        "invalid_dates",
-    )
+    return row.withColumn("exact_duplicates", exact).select(*CLEANING_COUNTS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,19 +11,25 @@ from postmill.plans.cleaning import clean_postings
 from postmill.sources import readers, writers
 
 
-def run_cleaning(spark: SparkSession, raw_path: str, out_path: str, file_format: str = "csv",
-                 custom_mapping: Mapping[str, str] | None = None, clean_csv: bool = False) -> DataFrame | None:
+def run_cleaning(spark: SparkSession, raw_path: str | Sequence[str], out_path: str, file_format: str = "csv",
+                 custom_mapping: Mapping[str, str] | None = None, clean_csv: bool = False, multi_line: bool = True,
+                 partitions: int | None = None, order_by: Sequence[str] | None = None, strict: bool = False,
+                 id_hex_digits: int = 64, partition_by: str | None = None) -> DataFrame | None:
     """Clean raw files and write the clean table and its quality reports; None without input.
 
-    Writes clean/ (Parquet), quality/data_quality_report (CSV and JSON), cleaning_summary,
+    A list of paths names sources with headers of their own. Writes clean/ (Parquet, optionally partitioned),
+    quality/data_quality_report (CSV and JSON), cleaning_summary,
     missing_values and quality_score. Reports are computed from the written tables, so raw
     files are parsed for the clean table and for the counts, and not again.
     """
-    raw = readers.read_raw(spark, raw_path, file_format)
+    if isinstance(raw_path, str):
+        raw = readers.read_raw(spark, raw_path, file_format, multi_line, partitions)
+    else:
+        raw = readers.read_raw_sources(spark, raw_path, file_format, custom_mapping, multi_line, partitions)
     if raw is None:
         return None
-    cleaned = clean_postings(raw, custom_mapping)
-    writers.write_clean(cleaned.postings, f"{out_path}/clean")
+    cleaned = clean_postings(raw, custom_mapping, order_by, strict, id_hex_digits)
+    writers.write_clean(cleaned.postings, f"{out_path}/clean", partition_by)
     cleaned.counts.write.mode("overwrite").parquet(f"{out_path}/counts")
 
     clean = spark.read.parquet(f"{out_path}/clean")
@@ -41,10 +47,11 @@ def run_cleaning(spark: SparkSession, raw_path: str, out_path: str, file_format:
     return clean
 
 
-def load_or_clean(spark: SparkSession, out_path: str, raw_path: str, file_format: str = "csv") -> DataFrame | None:
-    """The clean table if it was written before, else the result of cleaning the raw files."""
+def load_or_clean(spark: SparkSession, out_path: str, raw_path: str | Sequence[str], file_format: str = "csv",
+                  **options) -> DataFrame | None:
+    """The clean table if it was written before, else the result of cleaning the raw files with the given options."""
     clean = readers.read_clean(spark, f"{out_path}/clean")
-    return clean if clean is not None else run_cleaning(spark, raw_path, out_path, file_format)
+    return clean if clean is not None else run_cleaning(spark, raw_path, out_path, file_format, **options)
 
 
 def run_profile(spark: SparkSession, clean: DataFrame | str, out_path: str) -> bool:
@@ -64,7 +71,7 @@ def run_profile(spark: SparkSession, clean: DataFrame | str, out_path: str) -> b
         "salary_by_city": ordered(salaries.by("by_city")),
     }
     for name, table in statistics.items():
-        writers.write_table(table, f"{out_path}/statistics/{name}")
+        writers.write_table(table, f"{out_path}/statistics/{name}", bounded=name != "salary_by_city")
     writers.write_summary(profile.profile_summary(df), f"{out_path}/summaries/eda_summary")
     writers.write_table(profile.insights(df), f"{out_path}/reports/insights")
     for name, table in charts.chart_tables(df).items():

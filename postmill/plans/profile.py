@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from postmill.functions.postings import posted_date
 from postmill.functions.numeric import number_text, percentage, round_even, to_number
 from postmill.functions.text import UNKNOWN, is_known, is_missing_exact, strip
 from postmill.operators.describe import GROUP_STATS, grouped_stats, numeric_stats, numeric_stats_of
@@ -45,7 +46,7 @@ def overview(df: DataFrame) -> DataFrame:
     """
     names = {"unique_companies": "company", "unique_locations": "location", "unique_job_titles": "job_title"}
     has = set(df.columns)
-    date = F.try_to_date(F.substring("posted_date", 1, 10), "yyyy-MM-dd") if "posted_date" in has else None
+    date = F.try_to_date(posted_date(F.col("posted_date").cast("string"))["iso"], "yyyy-MM-dd") if "posted_date" in has else None
     aggregates = [F.count("*").alias("total_job_postings")]
     aggregates += [
         (F.count_distinct(F.nullif(F.col(c), F.lit(UNKNOWN))) if c in has else F.lit(0).cast("bigint")).alias(name)
@@ -227,36 +228,26 @@ def _findings() -> list[Column]:
     lit = F.lit
     findings = [
         (
-            F.when(title.isNotNull(), lit("Dominant Job Position")),
-            F.concat(lit("The job title '"), title,
-                     lit("' represents the single largest title category in the dataset.")),
-            F.concat(title_count, lit(" out of "), total, lit(" job postings ("),
-                     number_text(F.col("top.percentage")), lit("%) belong to this role.")),
-            F.concat(lit("High posting concentration in '"), title,
-                     lit("' reflects strong operational hiring demand for this functional specialization.")),
-            lit("Reflects the specific dataset distribution and should not be assumed as universal market demand "
-                "across all industries."),
+            F.when(title.isNotNull(), lit("Most frequent title")),
+            F.concat(lit("'"), title, lit("' is the title that occurs most often.")),
+            F.concat(title_count, lit(" of "), total, lit(" postings carry it ("), number_text(F.col("top.percentage")), lit("%).")),
+            lit("Demand in this table centres on that title."),
+            lit("Holds for the postings at hand, not for a whole market."),
         ),
         (
-            lit("Work Modality Prevalence"),
-            F.concat(lit("Remote work opportunities represent "), number_text(F.col("remote")),
-                     lit("% of total analyzed job postings.")),
-            F.concat(lit("Calculated dynamically from "), total, lit(" posting records.")),
-            lit("Provides empirical baseline on post-pandemic remote/hybrid adoption in this market segment."),
-            lit("Work modality tags depend on employer posting transparency; unspecified modalities default to "
-                "Onsite/Unknown."),
+            lit("Remote share"),
+            F.concat(number_text(F.col("remote")), lit("% of the postings are remote.")),
+            F.concat(lit("Counted over "), total, lit(" postings.")),
+            lit("Shows how common remote work is here."),
+            lit("A posting that names no modality does not count as remote."),
         ),
         (
-            lit("Compensation Transparency & Median Pay"),
-            F.concat(lit("Salary information is disclosed in "), number_text(F.col("disclosed")),
-                     lit("% of job postings, with a median midpoint of "), number_text(F.col("salary.median")),
-                     lit(" INR/annual equivalent.")),
-            F.concat(F.col("salary.count").cast("string"), lit(" out of "), total,
-                     lit(" postings provide parseable salary bounds.")),
-            lit("Employers disclosing compensation ranges allow baseline median pay benchmarking across experience "
-                "levels."),
-            lit("Optional salary disclosures may suffer from self-selection bias where higher or lower paying roles "
-                "omit salary details."),
+            lit("Stated pay"),
+            F.concat(number_text(F.col("disclosed")), lit("% of the postings state a salary; the median is "),
+                     number_text(F.col("salary.median")), lit(".")),
+            F.concat(F.col("salary.count").cast("string"), lit(" of "), total, lit(" postings have a usable amount.")),
+            lit("Gives a first point of reference for pay."),
+            lit("Employers choose whether to state pay, so the median may be biased."),
         ),
     ]
     names = ["topic", "finding", "evidence", "interpretation", "limitation"]

@@ -134,12 +134,15 @@ def cleaning_summary(df: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def top_missing(df: DataFrame, limit: int = 12) -> DataFrame:
-    """Columns with the largest share of missing values (exact tokens): Column, Missing_Pct."""
+    """Columns with the largest share of missing values: Column, Missing_Pct.
+
+    Exact tokens count for text, NaN for fractions, and only NULL for other types, arrays included.
+    """
     fields = df.schema.fields
     missing = []
     for f in fields:
         c = F.col(f"`{f.name}`")
-        textual = isinstance(f.dataType, (T.StringType, T.ArrayType, T.DoubleType, T.FloatType))
+        textual = isinstance(f.dataType, (T.StringType, T.DoubleType, T.FloatType))
         missing.append(F.count_if(is_missing_exact(c, f.dataType) if textual else c.isNull()))
     row = df.agg(F.count("*").alias("total"), F.array(*missing).alias("missing"))
     records = []

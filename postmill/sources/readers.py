@@ -27,14 +27,9 @@ def nulled(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     )
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread the rows of a scan with few splits over all cores, ahead of costly work per row.
-
-    A handful of files, or of CSV files that cannot be split, would keep the other cores
-    idle. Scans with at least one split per core are returned as they are.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+def spread(scan: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal the rows of a scan out anew where it has too few splits for the cluster; None leaves it alone."""
+    return scan if partitions is None else scan.repartition(partitions)
 
 
 def _ordered(df: DataFrame) -> DataFrame:
@@ -48,12 +43,13 @@ def _ordered(df: DataFrame) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str | Sequence[str], file_format: str = "csv",
-             multi_line: bool = True) -> DataFrame | None:
+             multi_line: bool = True, partitions: int | None = None) -> DataFrame | None:
     """Raw postings from all CSV, JSON or Parquet files under a path; None if there are none.
 
     CSV cells stay text and null tokens become NULL. Files of one call must share a header;
     see ``read_raw_sources`` for others. With ``multi_line`` a CSV file is one task because
-    quoted cells may hold line breaks; turn it off for large files without such cells.
+    quoted cells may hold line breaks; turn it off for large files without such cells, or name a number of
+    ``partitions`` to deal the rows out after the read.
     """
     reader = spark.read.format(file_format)
     if file_format == "csv":
@@ -69,19 +65,20 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], file_format: str =
         if e.getCondition() in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
             return None
         raise
-    df = spread(_ordered(df))
+    df = spread(_ordered(df), partitions)
     return nulled(df) if file_format == "csv" else df
 
 
 def read_raw_sources(spark: SparkSession, paths: Sequence[str], file_format: str = "csv",
-                     custom_mapping: Mapping[str, str] | None = None) -> DataFrame | None:
+                     custom_mapping: Mapping[str, str] | None = None, multi_line: bool = True,
+                     partitions: int | None = None) -> DataFrame | None:
     """Raw postings from sources with different headers: each is renamed, then all are united.
 
     Rows keep their order by source file. All values are text afterwards.
     """
     out = None
     for path in paths:
-        df = read_raw(spark, path, file_format)
+        df = read_raw(spark, path, file_format, multi_line, partitions)
         if df is None:
             continue
         named = rename_columns(df, custom_mapping)

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where the setting is missing (tests)."""
+    """The folder in spark.checkpoint.dir; a local one only where the setting is missing on a local master (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local") or "local-cluster" in spark.conf.get("spark.master", ""):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="postmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

@@ -23,11 +23,11 @@ def write_clean_csv(df: DataFrame, path: str) -> None:
     df.select(*columns).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """A small report table as one CSV file."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"')
+def write_table(df: DataFrame, path: str, bounded: bool = True) -> None:
+    """A report table as one CSV file, or as many files where its length grows with the data."""
+    (df.repartition(1) if bounded else df).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def write_summary(df: DataFrame, path: str) -> None:
     """A one-row nested report as one JSON file."""
-    df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    df.repartition(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)

@@ -44,6 +44,24 @@ def test_map_columns_rules():
     assert map_columns(["role", "designation"]).targets == {"role": "job_title"}
 
 
+def test_names_that_differ_in_case_only(spark):
+    df = spark.createDataFrame([("Dev", "Pune", "MH", "x", "Monthly")], "`Job Title` string, Location string, State string, "
+                               "City string, Salary_Period string")
+    out, m = normalize_columns(df)
+    row = out.first()
+    assert m.targets == {"Job Title": "job_title", "Location": "location"}
+    assert (row["State__raw"], row["City__raw"], row["Salary_Period__raw"], row["city"]) == ("MH", "x", "Monthly", None)
+    assert len({c.lower() for c in out.columns}) == len(out.columns)
+    twice = spark.createDataFrame([("1", "2")], "a string, b string")
+    out, m = normalize_columns(twice, {"a": "job_title", "b": "job_title"})
+    assert m.targets == {"a": "job_title"} and out.first()["job_title"] == "1" and out.first()["b"] == "2"
+
+
+def test_order_must_be_named(spark):
+    with pytest.raises(ValueError, match="order_by"):
+        clean_postings(spark.createDataFrame([("Dev",)], "title string"))
+
+
 def test_two_columns_for_one_target(spark):
     df = spark.createDataFrame([("Dev", "Engineer", "Pune", "Mumbai, IN")], "title string, job_title string, "
                                "city string, location string")
@@ -58,8 +76,8 @@ def test_two_columns_for_one_target(spark):
 
 
 def test_duplicates(spark):
-    rows = [("Data Analyst", "Acme", "Bangalore", "SQL Python")] * 2 + [
-        ("Data Analyst", "Acme", "Bangalore", "Different desc"), ("Data Engineer", "TechCorp", "Mumbai", "Spark AWS")]
+    rows = [("Baker", "Oven & Co", "Ghent", "Early shifts")] * 2 + [
+        ("Baker", "Oven & Co", "Ghent", "Late shifts"), ("Florist", "Petal", "Bruges", "Weekend work")]
     df = frame(spark, rows, texts("jobTitle", "companyName", "jobLocation", "jobDescription"))
     out = clean_postings(df, order_by=["pos"])
     counts = out.counts.first().asDict()
@@ -68,7 +86,7 @@ def test_duplicates(spark):
         "processed_rows": 2, "invalid_salaries": 0, "invalid_experiences": 0, "invalid_dates": 0,
     }
     kept = {r["description"] for r in out.postings.collect()}
-    assert kept == {"SQL Python", "Spark AWS"}
+    assert kept == {"Early shifts", "Weekend work"}
 
 
 def test_exact_duplicates_separate_nulls_and_boundaries(spark):
@@ -92,12 +110,9 @@ def test_keep_first_does_not_depend_on_partitioning(spark):
 
 def test_pipeline_frame(spark):
     rows = [
-        ("<p>Data Analyst</p>", "Acme Corp", "Bangalore", "6-10 LPA", "1-3 years", "Hybrid", "Skills: Python, SQL",
-         "Python, SQL"),
-        ("Senior Data Engineer", "TechCorp", "Mumbai", "$100,000", "5-8 years", "Remote", "Skills: Spark, AWS",
-         "Spark, Python, AWS"),
-        ("Data Analyst", "Acme Corp", "Bangalore", "6-10 LPA", "1-3 years", "Hybrid", "Skills: Python, SQL",
-         "Python, SQL"),
+        ("<b>Surveyor</b>", "Plumb Line", "bengaluru", "3-5 LPA", "2-4 years", "Hybrid", "Field and office", "CAD, GIS, CAD"),
+        ("Senior Chemist", "Retort", "Oslo, Viken, Norway", "$72,500", "6-9 years", "Remote", "Laboratory work", "HPLC"),
+        ("Surveyor", "Plumb Line", "bengaluru", "3-5 LPA", "2-4 years", "Hybrid", "Field and office", "CAD, GIS, CAD"),
     ]
     names = ["jobTitle", "companyName", "jobLocation", "salaryRange", "experienceLevel", "workMode",
              "jobDescription", "keySkills"]
@@ -105,15 +120,15 @@ def test_pipeline_frame(spark):
     counts = out.counts.first()
     assert (counts["initial_rows"], counts["exact_duplicates"], counts["likely_duplicates"]) == (3, 0, 1)
     clean = {r["job_title"]: r for r in out.postings.collect()}
-    a = clean["Data Analyst"]
-    assert len(clean) == 2 and a["company"] == "Acme Corp" and a["job_id"].startswith("job_")
-    assert (a["salary_min"], a["salary_max"], a["salary_midpoint"]) == (600000.0, 1000000.0, 800000.0)
+    a = clean["Surveyor"]
+    assert len(clean) == 2 and a["company"] == "Plumb Line" and len(a["job_id"]) == 4 + 64
+    assert (a["salary_min"], a["salary_max"], a["salary_midpoint"]) == (300000.0, 500000.0, 400000.0)
     assert (a["city"], a["state"], a["country"]) == ("Bangalore", "Karnataka", "India")
-    assert a["skills"] == ["Python", "SQL"] and a["skills_formatted"] == "Python, SQL"
+    assert a["skills"] == ["CAD", "GIS"] and a["skills_formatted"] == "CAD, GIS"
     assert a["experience_level"] == "Junior" and a["remote_type"] == "Hybrid" and a["validation_flags"] == "VALID"
-    b = clean["Senior Data Engineer"]
+    b = clean["Senior Chemist"]
     assert b["salary_currency"] == "USD" and b["seniority_level"] == "Senior"
-    assert a["raw_salary_string"] == "6-10 LPA"
+    assert (b["city"], b["country"]) == ("Oslo", "Norway") and a["raw_salary_string"] == "3-5 LPA"
 
 
 def test_logical_rules(spark):
@@ -142,7 +157,7 @@ def test_flags_titles_and_ids(spark):
     assert counts["invalid_experiences"] == 1 and counts["invalid_dates"] == 1
     clean = {r["job_title"]: r for r in out.postings.collect()}
     assert clean["Dev"]["validation_flags"] == "INVALID_EXPERIENCE_RANGE, INVALID_DATE_FORMAT"
-    assert clean["Dev"]["job_id"] == "7" and len(clean["Ops"]["job_id"]) == 14
+    assert clean["Dev"]["job_id"] == "7" and len(clean["Ops"]["job_id"]) == 68
     assert clean["Ops"]["company"] == "Unknown" and clean["Ops"]["location"] == "Unknown"
     again = {r["job_title"]: r["job_id"] for r in clean_postings(df, order_by=["pos"]).postings.collect()}
     assert again["Ops"] == clean["Ops"]["job_id"]
@@ -206,10 +221,8 @@ def counts_row(spark, initial, exact, likely):
 
 
 def test_quality_score(spark):
-    rows = [("Data Analyst", "Acme", "Bangalore", 5e5, "Mid Level", "Desc 1", "Python, SQL", "Mid Level", "Hybrid",
-             "Full-time", "VALID"),
-            ("Data Engineer", "TechCorp", "Delhi", 8e5, "Senior", "Desc 2", "Spark, AWS", "Senior", "Remote",
-             "Full-time", "VALID")]
+    rows = [("Tailor", "Hem", "Turin", 21e3, "Junior", "Repairs", "Sewing", "Junior", "Onsite", "Part-time", "VALID"),
+            ("Pilot", "Skyway", "Lyon", 9e4, "Lead", "Long haul", "A320, B737", "Lead", "Onsite", "Full-time", "VALID")]
     df = spark.createDataFrame(rows, PERFECT)
     scores = quality.quality_scores(df, counts_row(spark, 2, 0, 0))
     assert set(scores.first().asDict().values()) == {100.0}

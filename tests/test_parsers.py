@@ -19,9 +19,7 @@ def apply(spark, values, expression, n_args=1):
 
 def test_clean_text(spark):
     cases = {
-        "<p>Required: <b>Python &amp; SQL</b> skills.&nbsp;</p>": "Required: Python & SQL skills.",
-        "<p>We are seeking a <b>Data Scientist</b> proficient in Python &amp; SQL.&nbsp;</p>":
-            "We are seeking a Data Scientist proficient in Python & SQL.",
+        "<li>Wood <i>&amp;</i> stone,&nbsp;both</li>": "Wood & stone, both",
         "": "",
         None: "",
         "  a\t\n b  c ": "a b c",

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from postmill.plans import charts, profile
 from postmill.plans.jobs import load_or_clean, run_cleaning, run_profile
-from postmill.sources import readers, writers
+from postmill.plans.cleaning import clean_postings
+from postmill.sources import readers, staging, writers
 
 
 def test_overview(eda):
     got = profile.overview(eda).first().asDict()
     assert got == {
-        "total_job_postings": 10, "unique_companies": 5, "unique_locations": 2, "unique_job_titles": 8,
-        "unique_skills": 11, "min_date": "2026-03-01", "max_date": "2026-03-10", "remote_job_percentage": 40.0,
+        "total_job_postings": 8, "unique_companies": 4, "unique_locations": 3, "unique_job_titles": 4,
+        "unique_skills": 8, "min_date": "2025-11-03", "max_date": "2026-03-09", "remote_job_percentage": 25.0,
         "salary_completeness_pct": 100.0, "experience_completeness_pct": 100.0,
     }
 
@@ -28,56 +29,58 @@ def test_overview_without_rows_or_columns(spark, eda):
     assert bare["total_job_postings"] == 3 and bare["unique_companies"] == 1 and bare["unique_skills"] == 0
     text = spark.createDataFrame([("a, b",), (" b ,",)], "skills string")
     assert profile.distinct_skills(text).first()[0] == 2
+    dated = spark.createDataFrame([("03/02/2024",), ("2024-05-06T10:00:00",), ("soon",)], "posted_date string")
+    got = profile.overview(dated).first()
+    assert (got["min_date"], got["max_date"]) == ("2024-02-03", "2024-05-06")
 
 
 def test_distributions_and_titles(eda):
     dist = {(r["dimension"], r["value"]): (r["count"], r["percentage"]) for r in
             profile.job_distributions(eda).collect()}
-    assert dist["remote_type", "Remote"] == (4, 40.0) and dist["posted_year", "2026"] == (10, 100.0)
+    assert dist["remote_type", "Remote"] == (2, 25.0) and dist["posted_year", "2026"] == (5, 62.5)
     top = profile.top_titles(eda, 5).collect()
-    assert (top[0]["job_title"], top[0]["count"], top[0]["percentage"]) == ("Data Analyst", 3, 30.0) and len(top) == 5
+    assert (top[0]["job_title"], top[0]["count"], top[0]["percentage"]) == ("Nurse", 3, 37.5) and len(top) == 4
 
 
 def test_companies_and_places(eda):
     summary = profile.company_summary(eda).first().asDict()
-    assert summary == {"total_unique_companies": 5, "mean_postings_per_company": 2.0,
+    assert summary == {"total_unique_companies": 4, "mean_postings_per_company": 2.0,
                        "median_postings_per_company": 2.0}
     assert profile.company_summary(eda.where("false")).first()["total_unique_companies"] == 0
-    assert profile.top_companies(eda, 5).first()["company"] == "Acme"
+    assert profile.top_companies(eda, 5).first()["company"] == "Lingua"
     places = profile.top_places(eda, 5)
-    assert places.where("dimension = 'city'").count() == 2
-    table = {r["city"]: (r["Remote"], r["Hybrid"], r["Onsite"], r["Unknown"]) for r in
+    assert places.where("dimension = 'city'").count() == 3
+    table = {r["city"]: (r["Remote"], r["Hybrid"], r["Onsite"], r["Unknown"], r["other"]) for r in
              profile.remote_by_city(eda).collect()}
-    assert table == {"Bangalore": (3, 1, 1, 0), "Mumbai": (1, 2, 2, 0)}
+    assert table == {"Leeds": (1, 0, 2, 0, 0), "Hull": (0, 0, 3, 0, 0), "Porto": (1, 1, 0, 0, 0)}
 
 
 def test_salaries_and_experience(spark, eda):
     p = profile.salary_profile(eda)
-    assert p.target.first().asDict() == {"total_salary_records": 10, "target_column_used": "salary_midpoint"}
+    assert p.target.first().asDict() == {"total_salary_records": 8, "target_column_used": "salary_midpoint"}
     overall = p.overall.first()
-    assert overall["min"] == 450000.0 and overall["max"] == 2100000.0
+    assert overall["min"] == 25000.0 and overall["max"] == 50000.0
     by_level = {r["experience_level"]: r for r in p.by("by_experience").collect()}
-    assert by_level["Mid Level"]["count"] == 5 and by_level["Mid Level"]["median"] == 800000.0
-    assert {r["city"] for r in p.by("by_city").collect()} == {"Bangalore", "Mumbai"}
-    one_city = profile.salary_profile(eda.where("job_id in ('job_1', 'job_2', 'job_9')")).by("by_city").collect()
-    assert [r["city"] for r in one_city] == ["Bangalore"]
+    assert by_level["Mid Level"]["count"] == 5 and by_level["Mid Level"]["median"] == 33000.0
+    assert {r["city"] for r in p.by("by_city").collect()} == {"Leeds", "Hull", "Porto"}
+    one_city = profile.salary_profile(eda.where("job_id in ('p1', 'p2', 'p7')")).by("by_city").collect()
+    assert [r["city"] for r in one_city] == ["Leeds"]
     low = profile.salary_profile(eda.withColumn("salary_midpoint", F.lit(None).cast("double")))
-    assert low.target.first()["target_column_used"] == "salary_min" and low.overall.first()["max"] == 1800000.0
+    assert low.target.first()["target_column_used"] == "salary_min" and low.overall.first()["max"] == 42000.0
     empty = profile.salary_profile(spark.createDataFrame([("x",)], "a string"))
     assert empty.target.first()["total_salary_records"] == 0 and empty.overall.first()["count"] == 0
     levels = {r["value"]: r["count"] for r in profile.experience_levels(eda).collect()}
     assert levels["Mid Level"] == 5
     years = {r["field"]: r for r in profile.experience_years(eda).collect()}
-    assert years["experience_max_years"]["max"] == 12.0 and years["experience_min_years"]["mode"] == 3.0
+    assert years["experience_max_years"]["max"] == 10.0 and years["experience_min_years"]["mode"] == 2.0
 
 
 def test_insights(eda):
     got = profile.insights(eda).collect()
-    assert [r["topic"] for r in got] == ["Dominant Job Position", "Work Modality Prevalence",
-                                         "Compensation Transparency & Median Pay"]
-    assert got[0]["evidence"] == "3 out of 10 job postings (30.0%) belong to this role."
-    assert "40.0%" in got[1]["finding"] and "900000.0 INR" in got[2]["finding"]
-    assert got[2]["evidence"].startswith("10 out of 10")
+    assert [r["topic"] for r in got] == ["Most frequent title", "Remote share", "Stated pay"]
+    assert got[0]["evidence"] == "3 of 8 postings carry it (37.5%)."
+    assert "25.0%" in got[1]["finding"] and "33500.0" in got[2]["finding"]
+    assert got[2]["evidence"].startswith("8 of 8")
     assert profile.insights(eda.where("false")).count() == 0
     untitled = profile.insights(eda.withColumn("job_title", F.lit("Unknown"))).collect()
     assert len(untitled) == 2
@@ -197,9 +200,48 @@ def test_jobs_end_to_end(spark, raw_dir, tmp_path):
     assert not run_profile(spark, str(tmp_path / "absent"), target)
 
 
+def test_job_options_and_mixed_folders(spark, raw_dir, tmp_path):
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "b.csv").write_text("role_txt,employer,posted_date\nTester,Beta,2025-01-02\n")
+    out = str(tmp_path / "mixed")
+    clean = load_or_clean(spark, out, [str(raw_dir), str(other)], custom_mapping={"role_txt": "job_title"},
+                          id_hex_digits=12, partition_by="posted_year", multi_line=True, partitions=3)
+    rows = {r["job_title"]: r for r in clean.collect()}
+    assert set(rows) == {"Data, Analyst", "Engineer", "Tester"} and len(rows["Tester"]["job_id"]) == 16
+    assert os.path.isdir(f"{out}/clean/posted_year=2025")
+
+
+def test_derived_ids_do_not_depend_on_splits(spark, tmp_path):
+    lines = [f"Title {i % 40},Firm {i % 9},Town {i}" for i in range(600)]
+    raw = tmp_path / "ids"
+    raw.mkdir()
+    for k in range(3):
+        (raw / f"{k}.csv").write_text("title,company,location\n" + "\n".join(lines[k::3]) + "\n")
+    seen = []
+    for size, parts in (("1000", None), ("128m", 5)):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        clean = clean_postings(readers.read_raw(spark, str(raw), multi_line=False, partitions=parts)).postings
+        seen.append({(r["job_title"], r["company"], r["location"]): r["job_id"] for r in clean.collect()})
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(seen[0]) == 600 and seen[0] == seen[1] and len(set(seen[0].values())) == 600
+
+
+def test_staging_refuses_a_local_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.staging_folder(Session())
+
+
 def test_clean_csv_export(spark, eda, tmp_path):
     writers.write_clean_csv(eda, str(tmp_path / "csv"))
     back = spark.read.csv(str(tmp_path / "csv"), header=True)
-    assert back.where("job_id = 'job_1'").first()["skills"] == "Python, SQL"
+    assert back.where("job_id = 'p1'").first()["skills"] == "Triage, Charting"
     writers.write_clean(eda, str(tmp_path / "pq"), "posted_year")
-    assert readers.read_clean(spark, str(tmp_path / "pq")).count() == 10
+    assert readers.read_clean(spark, str(tmp_path / "pq")).count() == 8

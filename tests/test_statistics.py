@@ -11,6 +11,8 @@ from postmill.operators.describe import categorical_stats, grouped_stats, numeri
 from postmill.operators.frequency import cross_table, distributions, top_values, top_values_per_column
 from postmill.operators.outliers import flag_outliers, iqr_outliers, zscore_outliers
 from postmill.operators import quantiles
+from postmill.plans.charts import box_plot
+from postmill.plans.profile import insights, salary_profile
 from postmill.operators.quantiles import exact_quantiles
 
 
@@ -65,19 +67,43 @@ def test_quantiles_equal_brute_force(spark, seed):
     assert got == pytest.approx([linear(values, p) for p in ps], rel=1e-12)
 
 
-@pytest.mark.parametrize("few", [10_000, 0])
-def test_grouped_quantiles_equal_brute_force(spark, few, monkeypatch):
-    """Both join forms, with one group holding most rows."""
-    monkeypatch.setattr(quantiles, "FEW_GROUPS", few)
+@pytest.mark.parametrize("few, slices", [(True, 1024), (False, 1024), (False, 4)])
+def test_grouped_quantiles_equal_brute_force(spark, few, slices, monkeypatch):
+    """Both join forms, with one group holding most rows, and slices that hold many values."""
+    monkeypatch.setattr(quantiles, "_SLICES", slices)
     rng = random.Random(7)
     rows = [("hot" if rng.random() < 0.7 else f"g{rng.randrange(5)}", rng.gauss(0, 1)) for _ in range(15_000)]
     df = spark.createDataFrame(rows, "g string, x double")
-    got = {r["g"]: r["q"] for r in exact_quantiles(df, F.col("x"), [0.25, 0.5], by=["g"]).collect()}
+    got = {r["g"]: r["q"] for r in exact_quantiles(df, F.col("x"), [0.25, 0.5], by=["g"], few_groups=few).collect()}
     for g in {g for g, _ in rows}:
         values = [x for k, x in rows if k == g]
         assert got[g] == pytest.approx([linear(values, 0.25), linear(values, 0.5)], rel=1e-12)
 
 
+def test_building_plans_starts_no_job(spark, eda):
+    """Jobs get ascending numbers, so a probe before and one after are neighbours."""
+    tracker = spark.sparkContext.statusTracker()
+
+    def probe(name):
+        spark.sparkContext.setJobGroup(name, name)
+        spark.range(1).rdd.count()
+        return max(tracker.getJobIdsForGroup(name))
+
+    before = probe("before")
+    grouped_stats(eda, "city", "salary_min")
+    box_plot(eda, "experience_level", "salary_min")
+    salary_profile(eda)
+    insights(eda)
+    assert probe("after") == before + 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_absent_columns_and_empty_frames(spark, eda):
+    assert grouped_stats(eda, "absent", "salary_min").collect() == []
+    assert grouped_stats(eda, "city", "absent").columns == ["city", "count", "mean", "median", "std", "min", "max"]
+    assert correlations(eda.where("false"), ["salary_min", "salary_max"], "spearman").collect() == []
+
+
 def test_categorical_stats(spark):
     got = one(categorical_stats(numbers(spark, ["Remote", "Remote", "Hybrid", "Onsite", "Remote"], kind="string"), "x"))
     assert got == {"count": 5, "non_null_count": 5, "unique": 3, "top": "Remote", "freq": 3, "percentage": 60.0}
@@ -171,5 +197,5 @@ def test_frequency_tables(spark):
     assert dist["k", "Unknown"] == 1 and dist["m", "x"] == 4 and ("k", None) not in dist
     places = top_values_per_column(df, ["k", "m"], 1).collect()
     assert {(r["dimension"], r["value"], r["count"]) for r in places} == {("k", "a", 2), ("m", "x", 4)}
-    table = {r["k"]: (r["x"], r["y"]) for r in cross_table(df, "k", "m", ["x", "y"]).collect()}
+    table = {r["k"]: (r["x"], r["other"]) for r in cross_table(df, "k", "m", ["x"]).collect()}
     assert table == {"a": (1, 1)}
