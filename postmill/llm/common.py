@@ -11,6 +11,9 @@ from postmill.sources.staging import staging_folder
 
 #: Rows up to which a side may be broadcast once it has been counted; each is at most some 100 bytes.
 BROADCAST_ROWS = 1_000_000
+#: Bytes and rows in an Arrow batch sent to Python; a task holds a batch on both sides, and its copies.
+BATCH_BYTES = 8 << 20
+BATCH_ROWS = 1_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +28,15 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's limits of an Arrow batch to the above; smaller ones stay. A longer text is a batch by itself."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key).lower().removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, most)
+
+
 def kept(df: DataFrame) -> DataFrame:
     """The rows written once to the shared checkpoint folder, so that a lost executor costs no recomputation."""
     spark = df.sparkSession

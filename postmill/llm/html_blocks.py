@@ -15,6 +15,8 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from postmill.llm.common import bounded_batches
+
 # Element names of HTML.
 _BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
@@ -259,6 +261,7 @@ def extract(pages: DataFrame) -> DataFrame:
     length; unclosed tags, comments and scripts end with the page. Repeated rows are extracted each; null ids and
     urls are passed on, other columns ignored.
     """
+    bounded_batches(pages.sparkSession)
     source = pages.select("page_id", "url", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

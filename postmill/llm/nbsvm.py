@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from postmill.llm.common import fresh, remainder
+from postmill.llm.common import bounded_batches, fresh, remainder
 
 #: Indicators: hashed byte trigrams, then shares of repeated neighbours and of distinct words in steps of a tenth.
 HASH_BITS = 18
@@ -38,6 +38,19 @@ class Model:
     offset: float
 
 
+class _Scaled(Sequence):
+    """Scaled rows, each made when it is asked for: all of them would take twice the memory of the indicators."""
+
+    def __init__(self, ratio: np.ndarray, rows: list[np.ndarray]):
+        self._ratio, self._rows = ratio, rows
+
+    def __len__(self) -> int:
+        return len(self._rows)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self._ratio[self._rows[i]]
+
+
 def indicators(text: bytes | None) -> np.ndarray:
     """Ascending numbers of the n-grams that occur in a whole text."""
     text = text or b""
@@ -66,7 +79,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
             counts[y, x] += 1
     shares = counts / counts.sum(axis=1, keepdims=True)
     ratio = np.log(shares[1] / shares[0])
-    scaled = [ratio[x] for x in rows]
+    scaled = _Scaled(ratio, rows)
     lengths = [max(float(np.sqrt(v @ v)), 1e-12) for v in scaled]
     weight, bias = _descend(rows, scaled, lengths, np.where(labels == 1, 1.0, -1.0), np.flatnonzero(~kept_back))
     margin = np.array([weight[x] @ v / n + bias for x, v, n in zip(rows, scaled, lengths)])
@@ -132,7 +145,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
 
     def train(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("cells", "ascending")]).slice(0, train_rows)
-        rows = [np.frombuffer(c, "<i4") for c in table.column("cells").to_pylist()]
+        rows = [np.frombuffer(c.as_buffer(), "<i4") for c in table.column("cells")]  # views, no copies
         m = fit(rows, table.column("quality").to_numpy())
         return pa.table({
             "ratio": pa.array([m.ratio.astype("<f4").tobytes()], pa.binary()),
@@ -161,6 +174,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, train_rows
     both labels counts as 0. Only the text enters a score: null and empty texts are scored on the bias alone, equal
     texts alike. Without usable labels every score is 0.5. Other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     model = learn(docs, labels, train_rows, divisor, left_out)
     held_out = remainder(F.col("doc_id"), divisor) == left_out
     if model is None:

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from postmill.llm.common import fresh
+from postmill.llm.common import bounded_batches, fresh
 
 #: Where the public tokenizer files are installed; a parameter of every function that needs one.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -224,6 +224,7 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     encoded, whatever their length; rows are independent, so repeated ones are encoded alike. New columns whose
     names the input has already get underscores behind them.
     """
+    bounded_batches(docs.sparkSession)
     with open(model_file, "rb") as f:  # on the driver; the compiled machines are built where they are used
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     added = [fresh(docs, n) for n in ("piece_ids", "n_pieces", "round_trip")]

@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postmill.llm.common import kept
+from postmill.llm.common import bounded_batches, kept
 from postmill.llm.components import components
 
 BITS = 64
@@ -51,6 +51,7 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """Rows (doc_id, fp), one per input row; null texts count as empty."""
+    bounded_batches(docs.sparkSession)
     source = docs.select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
