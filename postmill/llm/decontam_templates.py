@@ -1,8 +1,8 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
 Numbers, names and units of documents and benchmark items become typed placeholders. Windows of the resulting
-templates are hash-joined, matches are lined up per diagonal (document position minus item position), and the values
-behind the placeholders must map one to one. So a question is found again after its numbers or names were changed.
+templates are hash-joined, matches are lined up per diagonal (document position minus item position), and each value
+of the item must stand for one value of the document. So a question is found again after its numbers or names were changed.
 """
 
 from __future__ import annotations
@@ -22,18 +22,32 @@ UNITS = ("mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram
          "cents usd eur gbp mph kmh kph watt watts kw kwh volt volts joule joules")
 
 
+#: Capitalised words that are no names, wherever they stand.
+COMMON = ("A About After All An And Another Any Are As At Be Because Before Both But By Can Compute Could Did Do Does During Each "
+          "Every Explain Find For From Give Given Had Has Have He Her His How However I If In Into Is It Its Let Many May Most My "
+          "Name No Not Now Of On Once One Or Our Over She Should Since So Some Suppose Than That The Their Then There These They "
+          "This Those Though To Under Until Was We Were What When Where Which While Who Whom Whose Why Will With Would You Your")
+
+
 def canonical(text: Column) -> Column:
     """Tokens between single blanks, lower-cased: words, and ``#12``, ``@name``, ``%unit`` for values of slots.
 
-    A name is a capitalised word inside a sentence; a unit is one of UNITS behind a number.
+    A number is one value with its separators and decimals. A name is a run of capitalised words that are not in COMMON, wherever
+    it stands (``@first_second``); a unit is one of UNITS behind a number.
     """
     plain = text
-    for mark in "#@%":
+    for mark in "#@%_\u066b":
         plain = F.replace(plain, F.lit(mark), F.lit(" "))
-    named = F.regexp_replace(plain, r"\p{Lu}(?<=[\p{Ll}\p{N},;] \p{Lu})\p{Ll}+", "@$0")
-    numbered = F.regexp_replace(F.lower(named), "[0-9]+", " #$0 ")
-    words = F.trim(F.regexp_replace(numbered, r"[^\p{L}\p{M}\p{N}#@]+", " "))
-    units = F.regexp_replace(words, rf"(#[0-9]+) (?=(?:{'|'.join(UNITS.split())})(?: |$))", "$1 %")
+    plain = F.regexp_replace(plain, r"\s+", " ")
+    named = F.regexp_replace(
+        plain, rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?!(?:{'|'.join(COMMON.split())})(?![\p{{L}}\p{{M}}]))\p{{Lu}}[\p{{Ll}}\p{{M}}]+(?![\p{{L}}\p{{M}}])", "@$0%")
+    for between in ("% @", "%-@"):
+        named = F.replace(named, F.lit(between), F.lit("_"))
+    whole = F.regexp_replace(F.lower(F.replace(named, F.lit("%"), F.lit(" "))), "(?<=[0-9])[,'\u2019\u202f](?=[0-9]{3}(?![0-9]))", "")
+    decimal = F.regexp_replace(whole, "(?<=[0-9])[.,](?=[0-9])", "\u066b")
+    numbered = F.regexp_replace(decimal, "[0-9]+(?:\u066b[0-9]+)*", " #$0 ")
+    words = F.trim(F.regexp_replace(numbered, r"[^\p{L}\p{M}\p{N}#@_\u066b]+", " "))
+    units = F.regexp_replace(words, rf"(#[0-9\u066b]+) (?=(?:{'|'.join(UNITS.split())})(?: |$))", "$1 %")
     return F.when(F.instr(words, "#") > 0, units).otherwise(words)
 
 
@@ -60,32 +74,64 @@ def _exploded(df: DataFrame, key: str, sizes: list[int]) -> DataFrame:
         key, "n_tokens", "w.size", "w.pos", "w.h", "w.slots")
 
 
+def _numberings(items: DataFrame) -> DataFrame:
+    """Rows (item_id, numbering, tokens, n_tokens): an item as it stands, and in lower case if that parts a run of names."""
+    cut = lambda text: F.split(canonical(text), " ")
+    both = items.select("item_id", cut(F.col("text")).alias("s"), cut(F.lower("text")).alias("l")).select("item_id", F.explode(F.array(
+        F.struct(F.lit(0).alias("numbering"), F.col("s").alias("tokens")),
+        F.struct(F.lit(1).alias("numbering"), F.when(F.size("s") != F.size("l"), F.col("l")).alias("tokens")))).alias("x"))
+    return both.select("item_id", "x.*").where("tokens[0] <> ''").withColumn("n_tokens", F.size("tokens"))
+
+
+def _item_windows(items: DataFrame, window: int, least_tokens: int, short: list[int]) -> DataFrame:
+    """Windows of items in every form a copy may have: single names also as words, for a copy in lower case, and the first
+    word also as a name (``=@word``, which only the same word fits), for a copy that begins a sentence with it."""
+    common = [x.lower() for x in COMMON.split()]
+    size = F.least("n_tokens", F.lit(window))
+    t = F.col("t")
+    other = F.when(t.startswith("@") & ~t.contains("_"), F.substring(t, 2, 1 << 30)).when(
+        (F.col("i") == 0) & ~F.substring(t, 1, 1).isin("#", "@", "%") & ~t.isin(*common) & t.rlike(r"^\p{L}[\p{L}\p{M}]+$"), F.concat(F.lit("=@"), t))
+    tokens = _numberings(items).where(F.col("n_tokens") >= least_tokens).select(
+        "item_id", "numbering", "n_tokens", F.posexplode("tokens").alias("i", "t")).withColumn("other", other).groupBy(
+        "item_id", "numbering", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("i", "t", "other"))).alias("tokens"))
+    placed = tokens.select("*", F.explode(F.sequence(F.lit(0), F.col("n_tokens") - size)).alias("item_pos")).select(
+        "item_id", "numbering", "n_tokens", "item_pos", F.slice("tokens", F.col("item_pos") + 1, size).alias("w"))
+    bit = lambda mask, k: F.get(F.array(*[F.lit(1 << j) for j in range(window)]), k).bitwiseAND(mask)
+    forms = placed.select("*", F.explode(F.sequence(F.lit(0), F.lit((1 << window) - 1))).alias("mask")).where(
+        (F.shiftrightunsigned("mask", 0) < F.pow(F.lit(2), F.size("w"))) &
+        F.forall(F.transform("w", lambda x, k: (bit(F.col("mask"), k) == 0) | x["other"].isNotNull()), lambda x: x)).select(
+        "*", F.transform("w", lambda x, k: F.when(bit(F.col("mask"), k) > 0, x["other"]).otherwise(x["t"])).alias("form"))
+    bare = F.transform("form", lambda x: F.when(x.startswith("="), F.substring(x, 2, 1 << 30)).otherwise(x))
+    slots = F.filter("form", lambda x: F.substring(x, 1, 1).isin("#", "@", "%", "="))
+    hashed = forms.select("*", F.explode(F.concat(*[_windows(bare, s) for s in (window, *short)])).alias("x")).where(
+        F.col("x.size") == F.size("w"))
+    return hashed.select("item_id", "numbering", "n_tokens", "item_pos", F.col("x.h").alias("h"),
+                         F.when(F.size(slots) > 0, slots).alias("item_slots"))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, copied: int = COPIED,
             least_tokens: int = LEAST_TOKENS) -> DataFrame:
     """Rows (doc_id, item_id): documents that hold an item, or ``copied`` of its tokens in a row, up to slot values.
 
     At least as many windows of one diagonal as such a run has must match, and over those the slot values of the
-    item must map one to one to values of the document. The item windows are broadcast only once they
+    item must map to one value of the document each. The item windows are broadcast only once they
     are counted and few; documents are not shuffled before the join.
     """
     items = benchmark.select("item_id", "text").where("text IS NOT NULL")
-    lengths = items.select("item_id", F.split(canonical(F.col("text")), " ").alias("t")).where("t[0] <> ''").select(
-        F.size("t").alias("n")).where(F.col("n") >= least_tokens)
+    lengths = _numberings(items).select(F.col("n_tokens").alias("n")).where(F.col("n") >= least_tokens)
     short = sorted(r.n for r in lengths.where(F.col("n") < window).distinct().collect())  # below `window` numbers
     sizes = [window, *short]
-    wanted = kept(_exploded(items, "item_id", sizes).where(
-        (F.col("n_tokens") >= least_tokens) & (F.col("size") == F.least("n_tokens", F.lit(window)))
-    ).select("item_id", "n_tokens", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots")))
+    wanted = kept(_item_windows(items, window, least_tokens, short))
     asked = _exploded(docs.select("doc_id", "text").where("text IS NOT NULL"), "doc_id", sizes).select("doc_id", "pos", "h", "slots")
     n_slots = lambda c: F.coalesce(F.size(c), F.lit(0))
     hits = asked.join(hinted(wanted, wanted.count()), "h").where(n_slots("slots") == n_slots("item_slots"))
-    lined = hits.groupBy("doc_id", "item_id", "n_tokens", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
+    lined = hits.groupBy("doc_id", "item_id", "numbering", "n_tokens", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
         F.size(F.collect_set("pos")).alias("n"),  # sets are bounded by the length of an item
         F.array_distinct(F.flatten(F.collect_set(F.when(F.size("slots") > 0, F.arrays_zip("item_slots", "slots"))))).alias("pairs"))
     needed = F.least(F.lit(copied), "n_tokens") - F.least(F.lit(window), "n_tokens") + 1
-    distinct = lambda field: F.size(F.array_distinct(F.transform("pairs", lambda p: p[field])))
-    one_to_one = (distinct("item_slots") == F.size("pairs")) & (distinct("slots") == F.size("pairs"))
-    return lined.where((F.col("n") >= needed) & one_to_one).select("doc_id", "item_id").distinct()
+    function = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))) == F.size("pairs")
+    same = F.forall("pairs", lambda p: ~p["item_slots"].startswith("=") | (p["item_slots"] == F.concat(F.lit("="), p["slots"])))
+    return lined.where((F.col("n") >= needed) & function & same).select("doc_id", "item_id").distinct()
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options: int) -> DataFrame:
