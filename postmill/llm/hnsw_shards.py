@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by largest inner product: one navigable small-world graph per shard.
 
-Vectors are dealt into shards of bounded size. A shard becomes one row that holds its vectors and, for each layer,
+Equal vectors are one point, which knows the smallest ids it stands for. Points are dealt into shards of bounded size. A shard becomes one row that holds its vectors and, for each layer,
 a flat array of neighbour numbers. Blocks of queries meet the shards in pairs, and the results of all shards
 are merged. Vectors get one more component that makes all lengths equal, so that the largest inner product with a query
 is the smallest distance and graphs work as for distances.
@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from postmill.llm.common import kept
+
 SHARD_ROWS = 8192
 QUERY_ROWS = 1024
 #: Links of a node on layers above 0 (twice as many on layer 0), candidates considered for them, beam of a search.
@@ -181,6 +183,13 @@ def usable(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "
         F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.forall("v", finite) & F.exists("v", lambda x: x != 0))
 
 
+def _points(rows: DataFrame, ids: int) -> DataFrame:
+    """Rows (h, v, ids): distinct vectors, and the ``ids`` smallest vec_ids of each; more of a hot one are cut before the shuffle."""
+    smallest = Window.partitionBy("h", "v").orderBy("vec_id")
+    first = rows.select(F.xxhash64("v").alias("h"), "v", "vec_id").distinct().withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= ids)
+    return first.groupBy("h", "v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+
+
 def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
 
@@ -194,24 +203,29 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int =
     only propose. Vectors that are null, zero or not finite take no part, nor do null ids, nor vectors whose
     dimension is not the most frequent one (the largest of several). Rows that repeat a vec_id are one candidate;
     of their vectors the best one counts. Other columns are ignored.
+
+    A point keeps k + 1 ids: without the query's own id, and without as many as better points hold, enough are left for the rest of k.
     """
-    rows = usable(vectors)
+    rows = usable(vectors).withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))  # no -0.0, which is equal to 0.0
     sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    dimension, total = (sizes.d, sizes["count"]) if sizes else (0, 0)
+    dimension = sizes.d if sizes else 0
     rows = rows.where(F.size("v") == dimension)
+    points_of = kept(_points(rows, k + 1))
     queries = rows.where(is_query)
-    shards = max(1, math.ceil(total / shard_rows))
+    shards = max(1, math.ceil(points_of.count() / shard_rows))
     blocks = max(1, math.ceil(queries.count() / query_rows))
-    sharded = rows.select((F.pmod(F.xxhash64("vec_id"), F.lit(shards))).alias("shard"), "vec_id", "v")
+    sharded = points_of.select(F.pmod("h", F.lit(shards).cast("bigint")).alias("shard"), "h", F.col("ids")[0].alias("first_id"), "ids", "v")
     kind = rows.schema["vec_id"].dataType.simpleString()
 
     def graph(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by("vec_id")
+        table = table.sort_by([("first_id", "ascending"), ("h", "ascending")])
         original = _matrix(table.column("v"), len(table))
         _, nodes, neighbours = build(original)
-        ids = table.column("vec_id").combine_chunks()
+        ids = table.column("ids").combine_chunks()
+        copies = np.diff(ids.offsets.to_numpy())
         return pa.table({
-            "shard": [key[0].as_py()], "ids": pa.array([ids.to_pylist()], pa.list_(ids.type)),
+            "shard": [key[0].as_py()], "ids": pa.array([ids.flatten().to_pylist()], pa.list_(ids.type.value_type)),
+            "copies": pa.array([copies.astype("<i4").tobytes()], pa.binary()),
             "original": pa.array([original.astype("<f8").tobytes()], pa.binary()),
             "nodes": pa.array([[x.astype("<i4").tobytes() for x in nodes]], pa.list_(pa.binary())),
             "neighbours": pa.array([[x.astype("<i4").tobytes() for x in neighbours]], pa.list_(pa.binary())),
@@ -220,7 +234,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int =
     def find(key: tuple, asked: pa.Table, shard: pa.Table) -> pa.Table:
         row = shard.slice(0, 1)
         ids = row.column("ids").combine_chunks().flatten()
-        original = np.frombuffer(row.column("original")[0].as_py(), "<f8").reshape(len(ids), -1)
+        copies = np.frombuffer(row.column("copies")[0].as_py(), "<i4").astype(np.int64)
+        original = np.frombuffer(row.column("original")[0].as_py(), "<f8").reshape(len(copies), -1)
         nodes = [np.frombuffer(x, "<i4").astype(np.int64) for x in row.column("nodes")[0].as_py()]
         neighbours = [np.frombuffer(x, "<i4").astype(np.int64).reshape(len(n), -1)
                       for x, n in zip(row.column("neighbours")[0].as_py(), nodes)]
@@ -230,6 +245,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int =
         at, column = np.nonzero(found >= 0)
         node = found[at, column]
         score = (matrix[at] * original[node]).sum(1)  # in double precision
+        many = copies[node]  # from here on, ``node`` is a place in the ids of all points
+        place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        at, score, node = np.repeat(at, many), np.repeat(score, many), np.repeat((np.cumsum(copies) - copies)[node], many) + place
         asked_ids = asked.column("vec_id").to_numpy()
         other = asked_ids[at] != ids.to_numpy(zero_copy_only=False)[node]
         at, node, score = at[other], node[other], score[other]
@@ -247,7 +265,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int =
         })
 
     graphs = sharded.groupBy("shard").applyInArrow(
-        graph, f"shard bigint, ids array<{kind}>, original binary, nodes array<binary>, neighbours array<binary>")
+        graph, f"shard bigint, ids array<{kind}>, copies binary, original binary, nodes array<binary>, neighbours array<binary>")
     spread = graphs.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     asked = queries.select(
         "vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
