@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postmill.llm import (
-    backoff_lm, chat_events, decontam_templates, hnsw_shards, html_blocks, line_windows, nbsvm, pii_boosting, piece_fst,
-    simhash_mih,
+    backoff_lm, chat_events, decontam_templates, hnsw_shards, html_blocks, line_windows, merkle_manifest, nbsvm, pii_boosting,
+    piece_fst, sequence_packing, simhash_mih, turn_trie,
 )
 from postmill.llm.common import importable, read
 
@@ -63,6 +63,18 @@ def _ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw_shards.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def _trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.prefix_trie(*turn_trie.rebuilt(read(spark, sf_dir, "conversations")))
+
+
+def _merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.report(read(spark, sf_dir, "documents"))
+
+
+def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence_packing.report(read(spark, sf_dir, "documents"))
+
+
 def _ready(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         importable(spark)
@@ -82,6 +94,9 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_decontamination": _decontam,
     "op9_chat_formatting": _chat,
     "op10_ann": _ann,
+    "op11_prefix_trie": _trie,
+    "op12_merkle_manifest": _merkle,
+    "op13_packing": _packing,
 }
 LLM_QUERIES = {name: _ready(query) for name, query in LLM_QUERIES.items()}
 
