@@ -52,6 +52,7 @@ class Words:
         self.mark = probe("\0")
         self.split = len(self.mark) == 1 and probe("ab") + self.mark + probe("c,") + self.mark == probe("ab \0\tc,\n\0")
         self.folds = probe("AB") == probe("ab")
+        self.letters = all(probe(w) == [t.id for t in self.tokenizer.model.tokenize(w)] for w in ("a", "letters", "xqzjy", "unbelievably"))
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -62,28 +63,37 @@ class Words:
     def _learn(self, words: set[bytes]) -> None:
         """Numbers of the words that are not in ``new``: from the older generation, or from the tokenizer."""
         new, old = self.new, self.old
-        asked, odd, built = [], [], []
-        for w in words:
-            cell = old.get(w)
-            if cell is not None:
-                new[w] = cell
-            elif b"\0" in w:
+        unknown = words.difference(old)
+        known = words.difference(unknown)
+        new.update(zip(known, map(old.__getitem__, known)))
+        asked, odd, built = set(), [], []
+        for w in unknown:
+            if b"\0" in w:
                 odd.append(w)
-            elif len(w) > 1 and w[-1:] in b".,;:!?" and 97 <= w[-2] <= 122:  # a mark behind a letter is a token by itself
+            elif w[-1:] in b".,;:!?" and 97 <= w[-2:][0] <= 122:  # a mark behind a letter is a token by itself
                 built.append(w)
             else:
-                asked.append(w)
-        parts = {p for w in built for p in (w[:-1], w[-1:]) if p not in new and p not in words}
-        for p in parts:
-            if p in old:
-                new[p] = old[p]
-            else:
-                asked.append(p)
+                asked.add(w)
+        for w in built:
+            for p in (w[:-1], w[-1:]):
+                if p not in new:
+                    if p in old:
+                        new[p] = old[p]
+                    else:
+                        asked.add(p)
         for w in odd:
             new[w] = self._whole(w.decode())
+        if self.letters:
+            tokenize = self.tokenizer.model.tokenize
+            plain = [w for w in asked if w.islower() and w.isalpha()]  # of bytes: a-z only
+            for w in plain:
+                new[w] = np.array([t.id for t in tokenize(w.decode())], self.kind).tobytes()
+            asked.difference_update(plain)
+        asked = list(asked)
         for low in range(0, len(asked), 4096):
             block = asked[low:low + 4096]
-            ids = np.array(self.tokenizer.encode((b" \0 ".join(block) + b" \0").decode(), add_special_tokens=False).ids, self.kind)
+            joined = (b" \0 ".join(block) + b" \0").decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.kind)
             ends = np.flatnonzero(ids == self.mark[0])
             if len(ends) != len(block):  # a word encodes to the mark: one by one
                 for w in block:
@@ -93,7 +103,7 @@ class Words:
             for w, end in zip(block, ends.tolist()):
                 new[w] = data[start * size:end * size]
                 start = end + 1
-        for w in sorted(built, key=len):
+        for w in built:
             new[w] = new[w[:-1]] + new[w[-1:]]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -124,10 +134,9 @@ class Words:
         missing = set().union(*texts).difference(new)
         if missing:
             self._learn(missing)
-        out = [b"".join([new[w] for w in words]) for words in texts]
-        for w in missing:
-            if len(w) > _WORD_BYTES:
-                new.pop(w, None)
+        out = [b"".join(map(new.__getitem__, words)) for words in texts]
+        for w in [w for w in missing if len(w) > _WORD_BYTES]:
+            del new[w]
         return out
 
 
