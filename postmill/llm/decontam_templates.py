@@ -38,40 +38,54 @@ def canonical(text: Column) -> Column:
     plain = text
     for mark in "#@%_\u066b":
         plain = F.replace(plain, F.lit(mark), F.lit(" "))
-    plain = F.regexp_replace(plain, r"\s+", " ")
-    named = F.regexp_replace(
-        plain, rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?!(?:{'|'.join(COMMON.split())})(?![\p{{L}}\p{{M}}]))\p{{Lu}}[\p{{Ll}}\p{{M}}]+(?![\p{{L}}\p{{M}}])", "@$0%")
-    for between in ("% @", "%-@"):
-        named = F.replace(named, F.lit(between), F.lit("_"))
-    whole = F.regexp_replace(F.lower(F.replace(named, F.lit("%"), F.lit(" "))), "(?<=[0-9])[,'\u2019\u202f](?=[0-9]{3}(?![0-9]))", "")
-    decimal = F.regexp_replace(whole, "(?<=[0-9])[.,](?=[0-9])", "\u066b")
+    named = F.regexp_replace(  # asks for a capital first, which most places are not
+        plain, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{M}}\p{{N}}])(?!(?:{'|'.join(COMMON.split())})(?![\p{{L}}\p{{M}}]))\p{{Lu}}[\p{{Ll}}\p{{M}}]+(?![\p{{L}}\p{{M}}])", "@$0%")
+    runs = F.regexp_replace(named, r"%(?:\s+|-)@", "_")
+    whole = F.regexp_replace(F.lower(F.replace(runs, F.lit("%"), F.lit(" "))), "[,'\u2019\u202f](?<=[0-9].)(?=[0-9]{3}(?![0-9]))", "")
+    decimal = F.regexp_replace(whole, "[.,](?<=[0-9].)(?=[0-9])", "\u066b")
     numbered = F.regexp_replace(decimal, "[0-9]+(?:\u066b[0-9]+)*", " #$0 ")
-    words = F.trim(F.regexp_replace(numbered, r"[^\p{L}\p{M}\p{N}#@_\u066b]+", " "))
-    units = F.regexp_replace(words, rf"(#[0-9\u066b]+) (?=(?:{'|'.join(UNITS.split())})(?: |$))", "$1 %")
-    return F.when(F.instr(words, "#") > 0, units).otherwise(words)
+    words = F.trim(F.regexp_replace(numbered, r"[^a-z0-9#@_\u066b\p{L}\p{M}\p{N}]+", " "))
+    return F.regexp_replace(words, rf"(#[0-9\u066b]+) (?=(?:{'|'.join(UNITS.split())})(?: |$))", "$1 %")
 
 
-def _windows(tokens: Column, size: int) -> Column:
-    """(size, position, hash of the template, slot values in order) of each window of ``size`` tokens."""
-    is_slot = lambda t: F.substring(t, 1, 1).isin("#", "@", "%")
-    hashes = F.transform(tokens, lambda t: F.xxhash64(F.when(is_slot(t), F.substring(t, 1, 1)).otherwise(t)))
-    starts = F.size(tokens) - size + 1
+def _is_slot(token: Column) -> Column:
+    return F.substring(token, 1, 1).isin("#", "@", "%")
 
-    def windows(hs: Column, any_slot: Column) -> Column:
-        all_hashes = F.transform(hs, lambda h, i: F.xxhash64(F.lit(size), h, *[F.get(hs, i + k) for k in range(1, size)]))
-        return F.transform(F.slice(all_hashes, 1, F.greatest(starts, F.lit(0))), lambda h, i: F.struct(
-            F.lit(size).alias("size"), i.alias("pos"), h.alias("h"),
-            F.when(any_slot, F.filter(F.slice(tokens, i + 1, size), is_slot)).alias("slots")))
 
-    bound = F.array(F.struct(hashes.alias("hs"), F.exists(tokens, is_slot).alias("any")))
-    return F.flatten(F.transform(bound, lambda b: windows(b["hs"], b["any"])))
+def _tokens(docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` but text, tokens, and marks: the tokens with slots reduced to their marks."""
+    rest = [c for c in docs.columns if c != "text"]
+    return docs.select(*rest, canonical(F.col("text")).alias("canon")).select(
+        *rest, F.split("canon", " ").alias("tokens"), F.split(F.regexp_replace("canon", "([#@%])[^ ]+", "$1"), " ").alias("marks"))
 
 
-def _exploded(df: DataFrame, key: str, sizes: list[int]) -> DataFrame:
-    tokens = df.select(key, F.split(canonical(F.col("text")), " ").alias("tokens")).where("tokens[0] <> ''")
-    windows = F.concat(*[_windows(F.col("tokens"), s) for s in sizes])
-    return tokens.select(key, F.size("tokens").alias("n_tokens"), F.explode(windows).alias("w")).select(
-        key, "n_tokens", "w.size", "w.pos", "w.h", "w.slots")
+def _windows(docs: DataFrame, sizes: list[int]) -> DataFrame:
+    """Rows (doc_id, pos, h) of each window of ``sizes`` tokens: a narrow row a window, made and hashed in generated code."""
+    first = min(sizes)
+    length = F.size("marks")
+    placed = _tokens(docs).select("doc_id", "marks", F.explode(F.when(length >= first, F.sequence(F.lit(0), length - first))).alias("pos"))
+    if len(sizes) == 1:
+        return placed.select("doc_id", "pos", F.xxhash64(F.slice("marks", F.col("pos") + 1, first)).alias("h"))
+    placed = placed.select("*", F.explode(F.array(*map(F.lit, sizes))).alias("size")).where("pos + size <= size(marks)")
+    return placed.select("doc_id", "pos", F.xxhash64(F.slice("marks", F.col("pos") + 1, F.col("size"))).alias("h"))
+
+
+def _slots(docs: DataFrame, places: DataFrame, sizes: list[int]) -> DataFrame:
+    """Rows (doc_id, pos, h, slots) of the windows at the given (doc_id, pos), with the values of their slots in order."""
+    asked = kept(places.groupBy(F.col("doc_id").alias("asked_id")).agg(F.collect_set("pos").alias("places")))  # no longer than a text
+    n = asked.agg(F.sum(F.size("places"))).first()[0] or 0
+    found = _tokens(docs.join(hinted(asked, n), F.col("doc_id").eqNullSafe(F.col("asked_id"))))
+
+    def of(size: int) -> Column:
+        def window(pos: Column) -> Column:
+            spelled = F.array_join(F.slice("tokens", pos + 1, size), " ")
+            return F.struct(pos.alias("pos"), F.xxhash64(F.slice("marks", pos + 1, size)).alias("h"),
+                            F.regexp_extract_all(spelled, F.lit("[#@%][^ ]*"), F.lit(0)).alias("slots"))
+
+        return F.transform(F.filter("places", lambda pos: pos + size <= F.size("marks")), window)
+
+    windows = F.concat(*map(of, sizes))
+    return found.select("doc_id", F.explode(windows).alias("w")).select("doc_id", "w.*")
 
 
 def _numberings(items: DataFrame) -> DataFrame:
@@ -83,7 +97,7 @@ def _numberings(items: DataFrame) -> DataFrame:
     return both.select("item_id", "x.*").where("tokens[0] <> ''").withColumn("n_tokens", F.size("tokens"))
 
 
-def _item_windows(items: DataFrame, window: int, least_tokens: int, short: list[int]) -> DataFrame:
+def _item_windows(items: DataFrame, window: int, least_tokens: int) -> DataFrame:
     """Windows of items in every form a copy may have: single names also as words, for a copy in lower case, and the first
     word also as a name (``=@word``, which only the same word fits), for a copy that begins a sentence with it."""
     common = [x.lower() for x in COMMON.split()]
@@ -103,10 +117,9 @@ def _item_windows(items: DataFrame, window: int, least_tokens: int, short: list[
         "*", F.transform("w", lambda x, k: F.when(bit(F.col("mask"), k) > 0, x["other"]).otherwise(x["t"])).alias("form"))
     bare = F.transform("form", lambda x: F.when(x.startswith("="), F.substring(x, 2, 1 << 30)).otherwise(x))
     slots = F.filter("form", lambda x: F.substring(x, 1, 1).isin("#", "@", "%", "="))
-    hashed = forms.select("*", F.explode(F.concat(*[_windows(bare, s) for s in (window, *short)])).alias("x")).where(
-        F.col("x.size") == F.size("w"))
-    return hashed.select("item_id", "numbering", "n_tokens", "item_pos", F.col("x.h").alias("h"),
-                         F.when(F.size(slots) > 0, slots).alias("item_slots"))
+    h = F.xxhash64(F.transform(bare, lambda x: F.when(_is_slot(x), F.substring(x, 1, 1)).otherwise(x)))
+    return forms.select("item_id", "numbering", "n_tokens", "item_pos", h.alias("h"),
+                        F.when(F.size(slots) > 0, slots).alias("item_slots"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, copied: int = COPIED,
@@ -121,14 +134,21 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, copied:
     lengths = _numberings(items).select(F.col("n_tokens").alias("n")).where(F.col("n") >= least_tokens)
     short = sorted(r.n for r in lengths.where(F.col("n") < window).distinct().collect())  # below `window` numbers
     sizes = [window, *short]
-    wanted = kept(_item_windows(items, window, least_tokens, short))
-    asked = _exploded(docs.select("doc_id", "text").where("text IS NOT NULL"), "doc_id", sizes).select("doc_id", "pos", "h", "slots")
+    wanted = kept(_item_windows(items, window, least_tokens))
+    texts = docs.select("doc_id", "text").where("text IS NOT NULL")
+    n_wanted = wanted.count()
+    line = ["doc_id", "item_id", "numbering", "n_tokens", (F.col("pos") - F.col("item_pos")).alias("diagonal")]
+    needed = F.least(F.lit(copied), "n_tokens") - F.least(F.lit(window), "n_tokens") + 1
+    # First templates alone: which places of which documents lie on a diagonal that is long enough, whatever its values.
+    hits = _windows(texts, sizes).join(hinted(wanted.drop("item_slots").distinct(), n_wanted), "h")
+    lines = hits.groupBy(*line).agg(F.collect_set("pos").alias("places")).where(F.size("places") >= needed)
+    places = kept(lines.select("doc_id", F.explode("places").alias("pos")).distinct())
+    # Then their values.
     n_slots = lambda c: F.coalesce(F.size(c), F.lit(0))
-    hits = asked.join(hinted(wanted, wanted.count()), "h").where(n_slots("slots") == n_slots("item_slots"))
-    lined = hits.groupBy("doc_id", "item_id", "numbering", "n_tokens", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
+    valued = _slots(texts, places, sizes).join(hinted(wanted, n_wanted), "h").where(n_slots("slots") == n_slots("item_slots"))
+    lined = valued.groupBy(*line).agg(
         F.size(F.collect_set("pos")).alias("n"),  # sets are bounded by the length of an item
         F.array_distinct(F.flatten(F.collect_set(F.when(F.size("slots") > 0, F.arrays_zip("item_slots", "slots"))))).alias("pairs"))
-    needed = F.least(F.lit(copied), "n_tokens") - F.least(F.lit(window), "n_tokens") + 1
     function = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))) == F.size("pairs")
     same = F.forall("pairs", lambda p: ~p["item_slots"].startswith("=") | (p["item_slots"] == F.concat(F.lit("="), p["slots"])))
     return lined.where((F.col("n") >= needed) & function & same).select("doc_id", "item_id").distinct()
