@@ -13,10 +13,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from postmill.llm.common import bounded_batches, kept
+from postmill.llm.common import bounded_batches, fresh, hinted, kept
 from postmill.llm.components import components
+from postmill.sources.staging import staged
 
 BITS = 64
 #: Fingerprints with one segment value above which that value is not looked up; see ``_midpoint_links``.
@@ -49,19 +50,18 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """Rows (doc_id, fp), one per input row; null texts count as empty."""
+def fingerprints(docs: DataFrame, shingle: int = 4, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Rows (*columns, fp), one per input row; null texts count as empty."""
     bounded_batches(docs.sparkSession)
-    source = docs.select("doc_id", "text")
+    source = docs.select(*columns, F.col("text").alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            texts = batch.column("body").cast(pa.binary()).to_pylist()
             prints = pa.array([fingerprint(t, shingle) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), prints], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), prints], names=[*columns, "fp"])
 
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], T.StructField("fp", T.LongType())]))
 
 
 def _ball(width: int, radius: int) -> list[int]:
@@ -139,6 +139,12 @@ def links(prints: DataFrame, radius: int = 4, count: int = 3, bucket: int = BUCK
     return (pairs if made is None else pairs.union(made)).distinct()
 
 
+def _roots(nodes: DataFrame, radius: int, bucket: int) -> DataFrame:
+    """Rows (fp, root) of the distinct fingerprints that have links."""
+    count = 3 if nodes.count() <= THREE_SEGMENTS else 2
+    return kept(components(links(nodes.select("fp"), radius, count, bucket)).withColumnRenamed("node", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
     """Rows (doc_id, fingerprint, component_id), one per input row.
 
@@ -149,11 +155,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket:
     """
     prints = kept(fingerprints(docs, shingle))
     nodes = kept(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    count = 3 if nodes.count() <= THREE_SEGMENTS else 2
-    roots = kept(components(links(nodes.select("fp"), radius, count, bucket)).withColumnRenamed("node", "fp"))
+    roots = _roots(nodes, radius, bucket)
     linked = kept(roots.join(nodes, "fp"))
     smallest = kept(linked.groupBy("root").agg(F.min("first_id").alias("component_id")))
     moved = linked.join(smallest, "root").select("fp", "component_id")
     classes = kept(nodes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
     return prints.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
+    """Exactly one row of each component that ``near_duplicates`` finds: the one of smallest doc_id, null ids last.
+
+    Rows are told apart by a number they get here, not by doc_id: of rows that agree in it, or in all columns, one stays if they are linked, and
+    each stays if they are not. Input rows are written once with their numbers, so that these outlive lost executors. All columns are
+    returned as they are.
+    """
+    number = fresh(docs, "row_number")
+    rows = staged(docs.withColumn(number, F.monotonically_increasing_id()))
+    prints = kept(fingerprints(rows, shingle, ("doc_id", number)).withColumnRenamed(number, "row"))
+    roots = _roots(kept(prints.select("fp").distinct()), radius, bucket)
+    linked = prints.join(hinted(roots, roots.count()), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    first = linked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("stays"))
+    gone = kept(linked.select("root", "row").join(first, "root").where("row <> stays").select("row"))
+    return rows.join(hinted(gone, gone.count()), rows[number] == gone["row"], "left_anti").drop(number)
