@@ -6,15 +6,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postmill.llm import decontam_templates, line_windows, nbsvm, near_copies as copies, piece_fst
-from postmill.llm.common import hinted, importable, kept, read
+from postmill.llm import decontam_templates, line_windows, nbsvm, piece_fst, simhash_mih
+from postmill.llm.common import fresh, importable, read
 from postmill.sources.staging import staging_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; copies of a text share their fate."""
-    scored = nbsvm.score(docs, read(spark, sf_dir, "labels"), columns=docs.columns)
-    return scored.where("predicted = 1").select(*docs.columns)
+    """Documents that the quality classifier accepts; copies of a text share their fate. Columns of its own names pass through."""
+    taken = ("score", "held_out", "predicted")
+    names = {c: fresh(docs, f"given_{c}") if c.lower() in taken else c for c in docs.columns}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    scored = nbsvm.score(renamed, read(spark, sf_dir, "labels"), columns=renamed.columns)
+    return scored.where("predicted = 1").select(*[F.col(f"`{n}`").alias(c) for c, n in names.items()])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,10 +31,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of smallest id, of each group linked by 0.8 or more of their five-word shingles in common."""
-    classes = copies.near_copies(docs)
-    gone = kept(classes.where("doc_id <> component_id").select("doc_id"))
-    return docs.join(hinted(gone, gone.count()), "doc_id", "left_anti").select(*docs.columns)
+    """One document, the one of smallest id, of each group that SimHash near-dedup links: four-word shingles, four bits."""
+    return simhash_mih.one_of_each(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
