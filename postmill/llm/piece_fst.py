@@ -1,10 +1,10 @@
 """SentencePiece encoding and decoding with a weighted finite-state transducer.
 
-The model file is compiled into three machines: the normaliser (a blank mark in front of the text and for every
-blank), the pieces as arcs with their numbers as output, and byte fallback for characters that no piece has.
-A weight on each pair of successive pieces says whether merging would have left them side by side: zero if so,
-infinite if not; a unigram model weighs single pieces by their negative scores instead. An input is composed with
-the machines piece by piece, and the path of least total weight is its encoding.
+The model file is compiled into states and arcs: the normaliser (a blank mark in front of the text and for every blank), the pieces
+as a tree of states whose arcs read characters and whose last arc writes a piece, and byte fallback for characters
+that no piece has. An input is composed with it place by place, and the path of least weight in the tropical semiring is its
+encoding. A unigram model weighs each piece by its negative score. A BPE model weighs each pair of successive
+pieces: zero if merging their text would leave them side by side, infinite if not; one path has a finite weight.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
-from functools import cached_property, lru_cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +25,12 @@ from postmill.llm.common import bounded_batches, fresh
 #: Where the public tokenizer files are installed; a parameter of every function that needs one.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 _BLANK = "▁"
-#: Encodings of blank-separated parts that a worker remembers, in each of two generations.
-_REMEMBERED = 1 << 18
-# Kinds of pieces and models in the file format.
+#: Encodings of parts that a worker remembers, in each of two generations, and weights of pairs.
+_REMEMBERED = 3 << 16
+#: Characters of the longest part that is remembered.
+_LONGEST = 24
+# Bits of a code point (also enough for pieces and characters together); kinds of pieces and models in the file format.
+_CHARACTER_BITS = 21
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
 _UNIGRAM, _BPE = 1, 2
 
@@ -89,18 +92,21 @@ class Transducer:
             p.replace(_BLANK, " ").encode() if k == _NORMAL else bytes([int(p[3:5], 16)]) if k == _BYTE
             else " ⁇ ".encode() if k == _UNKNOWN else b"" for p, k in zip(self.pieces, kinds)
         ]
-        self.longest = max(map(len, self.ids), default=1)
+        # A state is its arcs by character, and the piece that is complete in it or -1.
+        self.root: list = [{}, -1]
+        for piece, i in self.ids.items():
+            state = self.root
+            for c in piece:
+                state = state[0].setdefault(c, [{}, -1])
+            state[1] = i
+        self.least = min((self.scores[i] for i in self.ids.values()), default=0.0)
         # Where no piece holds a blank mark after another character, paths through such a place are independent.
         crossing = re.compile(f"[^{_BLANK}]{_BLANK}")
         self.parts = None if any(crossing.search(p) for p in self.ids) else re.compile(f"{_BLANK}+[^{_BLANK}]*|[^{_BLANK}]+")
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.seen: dict[str, bytes] = {}
         self.seen_before: dict[str, bytes] = {}
 
-    @cached_property
-    def _least(self) -> float:
-        return min(self.scores[i] for i in self.ids.values())
-
     def merged(self, text: str) -> list[str]:
         """Best-scored neighbours first, leftmost among equals; only used on texts of two pieces."""
         symbols = list(text)
@@ -115,83 +121,101 @@ class Transducer:
             i = best[1]
             symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
 
-    def side_by_side(self, a: str, b: str) -> bool:
-        """The weight on two successive pieces of a merging model: finite if merging their text leaves the two.
+    def _spelling(self, i: int) -> str:
+        return self.pieces[i] if i < len(self.pieces) else chr(i - len(self.pieces))
 
-        Before the first piece stands an empty one.
-        """
+    def _side_by_side(self, last: int, piece: int) -> bool:
+        """Whether the weight on two successive pieces of a merging model is finite; -1 stands before the first piece."""
         if len(self.pairs) >= _REMEMBERED:
             self.pairs.clear()
-        found = self.pairs[a, b] = self.merged(a + b) == ([a, b] if a else [b])
+        b = self._spelling(piece)
+        a = self._spelling(last) if last >= 0 else ""
+        found = self.pairs[last << _CHARACTER_BITS | piece] = self.merged(a + b) == ([a, b] if a else [b])
         return found
 
-    def _merging_path(self, text: str) -> list[str]:
-        """The only path of finite weight, depth first with the longest arcs ahead.
+    def _arcs_from(self, text: str, at: int) -> list[tuple[int, int]]:
+        """Composition with the input at one place: (end, piece) of each arc path that writes a piece, shortest first.
+
+        A character without a piece is a piece by itself, numbered the number of pieces plus its code point.
+        """
+        state = self.root[0].get(text[at])
+        if state is None:
+            return [(at + 1, len(self.pieces) + ord(text[at]))]
+        arcs, piece = state
+        found = [(at + 1, piece if piece >= 0 else len(self.pieces) + ord(text[at]))]
+        for end in range(at + 1, len(text)):
+            state = arcs.get(text[end])
+            if state is None:
+                break
+            arcs, piece = state
+            if piece >= 0:
+                found.append((end + 1, piece))
+        return found
+
+    def shortest_path(self, text: str) -> list[int]:
+        """Pieces of the path of least weight in the tropical semiring."""
+        return self._zero_path(text) if self.merging else self._relaxed_path(text)
+
+    def _zero_path(self, text: str) -> list[int]:
+        """With weights of zero and infinity: the first path found is the shortest, so that a stack serves as the queue.
 
-        A beginning of the text is reached by at most one last piece with finite weight, so a piece that has failed
-        at a place is not tried there again.
+        The longest arcs are followed first. A place is reached by at most one last piece with a finite weight, so what has failed there is
+        not tried again.
         """
-        ids, pairs, longest, n = self.ids, self.pairs, self.longest, len(text)
-        path: list[str] = []
-        sizes, at, failed = [min(longest, n)], 0, set()
+        path: list[int] = []
+        ends, at, n = [], 0, len(text)
+        open_arcs = [self._arcs_from(text, 0)] if n else []
+        failed: set[tuple[int, int]] = set()
+        known = self.pairs
         while at < n:
-            last, size = path[-1] if path else "", sizes[-1]
-            while size:
-                piece = text[at:at + size]
-                if size == 1 or piece in ids:
-                    fits = pairs.get((last, piece))
-                    if fits is None:
-                        fits = self.side_by_side(last, piece)
-                    if fits and (not failed or (at + size, size) not in failed):
-                        break
-                size -= 1
-            if size:
-                sizes[-1] = size - 1
-                path.append(piece)
-                at += size
-                sizes.append(min(longest, n - at))
-            elif path:
-                failed.add((at, len(path[-1])))
-                at -= len(path.pop())
-                sizes.pop()
+            before = path[-1] if path else -1
+            arcs = open_arcs[-1]
+            while arcs:
+                arc = arcs.pop()
+                fits = known.get(before << _CHARACTER_BITS | arc[1])
+                if fits is None:
+                    fits = self._side_by_side(before, arc[1])
+                if fits and (not failed or arc not in failed):
+                    ends.append(at)
+                    path.append(arc[1])
+                    at = arc[0]
+                    if at < n:
+                        open_arcs.append(self._arcs_from(text, at))
+                    break
             else:
-                raise ValueError("no finite path: the scores of this model do not order its merges")
+                if not path:
+                    raise ValueError("no finite path: the scores of this model do not order its merges")
+                open_arcs.pop()
+                failed.add((at, path.pop()))
+                at = ends.pop()
         return path
 
-    def _scored_path(self, text: str) -> list[str]:
-        """Shortest path in the tropical semiring over single-piece weights."""
-        best: list[tuple[float, str]] = [(0.0, "")] + [(math.inf, "")] * len(text)
-        for at in range(len(text)):
-            for size in range(1, min(self.longest, len(text) - at) + 1):
-                piece = text[at:at + size]
-                i = self.ids.get(piece)
-                if i is None and size > 1:
-                    continue
-                cost = best[at][0] - (self._least - 10 if i is None else self.scores[i])
-                if cost < best[at + len(piece)][0]:
-                    best[at + len(piece)] = (cost, piece)
-        path, at = [], len(text)
+    def _relaxed_path(self, text: str) -> list[int]:
+        """With weights of single pieces: places in order, each arc relaxing the place where it ends."""
+        n, scores, unknown = len(text), self.scores, 10.0 - self.least
+        best: list[tuple[float, int, int]] = [(0.0, -1, 0)] + [(math.inf, -1, 0)] * n
+        for at in range(n):
+            for end, piece in self._arcs_from(text, at):
+                weight = best[at][0] + (unknown if piece >= len(scores) else -scores[piece])
+                if weight < best[end][0]:
+                    best[end] = (weight, piece, at)
+        path, at = [], n
         while at:
             path.append(best[at][1])
-            at -= len(path[-1])
+            at = best[at][2]
         return path[::-1]
 
     def _part(self, text: str) -> bytes:
-        """Piece numbers of a part, from memory or by its shortest path."""
+        """Piece numbers of the text between blanks: from the older memory, or by its shortest path."""
         cell = self.seen_before.get(text)
         if cell is None:
             ids: list[int] = []
-            for piece in self._merging_path(text) if self.merging else self._scored_path(text):
-                i = self.ids.get(piece)
-                if i is not None:
+            for i in self.shortest_path(text):
+                if i < len(self.pieces):
                     ids.append(i)
                 else:
-                    ids += [self.bytes.get(b, self.unknown) for b in piece.encode()] if self.bytes else [self.unknown]
+                    ids += [self.bytes.get(b, self.unknown) for b in self._spelling(i).encode()] if self.bytes else [self.unknown]
             cell = array("i", ids).tobytes()
-        if len(text) < 64:
-            if len(self.seen) >= _REMEMBERED:
-                self.seen_before, self.seen = self.seen, {}
-            self.seen[text] = cell
         return cell
 
     def encode(self, text: str) -> np.ndarray:
@@ -199,14 +223,20 @@ class Transducer:
         if not text:
             return np.zeros(0, "<i4")
         text = self.prefix + text.replace(" ", _BLANK)
-        cells = []
-        for p in self.parts.findall(text) if self.parts else [text]:
-            cells.append(self.seen.get(p) or self._part(p))
-        return np.frombuffer(b"".join(cells), "<i4")
+        if len(self.seen) >= _REMEMBERED:
+            self.seen_before, self.seen = self.seen, {}
+        seen = self.seen
+        parts = self.parts.findall(text) if self.parts else [text]
+        new = set(parts).difference(seen)
+        for p in new:
+            seen[p] = self._part(p)
+        cells = b"".join(map(seen.__getitem__, parts))
+        for p in [p for p in new if len(p) > _LONGEST]:
+            del seen[p]
+        return np.frombuffer(cells, "<i4")
 
     def decode(self, ids: np.ndarray) -> str:
-        spelled = self.spelled
-        text = b"".join([spelled[i] for i in ids.tolist()]).decode("utf-8", "replace")
+        text = b"".join(map(self.spelled.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
