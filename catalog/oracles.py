@@ -426,6 +426,37 @@ BOX = f"""WITH q AS (SELECT o_orderpriority AS p, quantile_cont(o_totalprice, 0.
     max(o_totalprice) FILTER (inside) AS whisker_high, count(*) FILTER (NOT inside) AS outliers
   FROM x GROUP BY o_orderpriority"""
 
+WORD = r"\.?[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*[+#]*"
+
+
+def mentions(source: str, key: str, text: str, terms: str, lengths: tuple[int, ...]) -> str:
+    """CTEs up to ``found``: hits of (phrase, label) in ``terms``, leftmost and longest, one after the other."""
+    return f"""toks AS (SELECT {key} AS k, regexp_extract_all(lower({text}), '{WORD}') AS t FROM {source} WHERE {text} IS NOT NULL),
+  phrases AS ({terms}),
+  terms AS (SELECT array_to_string(p, ' ') AS p, min(label) AS label
+    FROM (SELECT regexp_extract_all(lower(phrase), '{WORD}') AS p, label FROM phrases) GROUP BY 1),
+  places AS (SELECT k, t, unnest(range(1, len(t) + 1)) AS i FROM toks),
+  runs AS (SELECT k, i - 1 AS pos, n, array_to_string(list_slice(t, i, i + n - 1), ' ') AS p
+    FROM places CROSS JOIN (VALUES {', '.join(f'({n})' for n in lengths)}) v(n) WHERE i + n - 1 <= len(t)),
+  hits AS (SELECT k, pos, n, label FROM runs JOIN terms USING (p)
+    QUALIFY row_number() OVER (PARTITION BY k, pos ORDER BY n DESC) = 1),
+  steps AS (SELECT a.k, a.pos, a.n, a.label, min(b.pos) AS nxt FROM hits a LEFT JOIN hits b ON a.k = b.k AND b.pos >= a.pos + a.n GROUP BY ALL),
+  found AS (SELECT s.* FROM steps s JOIN (SELECT k, min(pos) AS pos FROM hits GROUP BY k) f ON s.k = f.k AND s.pos = f.pos
+    UNION ALL SELECT s.* FROM found f JOIN steps s ON s.k = f.k AND s.pos = f.nxt)"""
+
+
+def together(source: str, columns: str, least: int) -> str:
+    """Associations over a table or CTE of (basket, item), null items for empty baskets."""
+    return f"""once AS (SELECT DISTINCT basket, item FROM {source} WHERE item IS NOT NULL),
+  single AS (SELECT item, count(*) AS n FROM once GROUP BY item),
+  total AS (SELECT count(DISTINCT basket) AS n FROM {source}),
+  pairs AS (SELECT x.item AS a, y.item AS b, count(*) AS n_both FROM once x JOIN once y ON x.basket = y.basket AND x.item < y.item
+    GROUP BY 1, 2 HAVING count(*) >= {least}),
+  rated AS (SELECT a, b, i.n AS n_a, j.n AS n_b, n_both, n_both::DOUBLE AS d, i.n::DOUBLE AS da, j.n::DOUBLE AS db, (SELECT n FROM total)::DOUBLE AS dn
+    FROM pairs JOIN single i ON a = i.item JOIN single j ON b = j.item)
+  SELECT {columns} FROM rated"""
+
+
 ORACLES: dict[str, str] = {
     "numerical_stats": numeric("lineitem", "l_extendedprice", ("std", "variance")),
     "numerical_stats_events": numeric("events", "value"),
@@ -513,6 +544,18 @@ ORACLES: dict[str, str] = {
     "experience_years": f"{CLEAN} " + " UNION ALL ".join(
         f"SELECT '{c}' AS field, * FROM ({numeric('clean', c)})" for c in ("experience_min_years", "experience_max_years")),
     "insights": INSIGHTS,
+    "skill_mentions": "WITH RECURSIVE " + mentions("documents", "doc_id", "text", """SELECT array_to_string(list_slice(t, 1, n), ' ') AS phrase,
+      t[1] AS label FROM toks CROSS JOIN (VALUES (2), (3)) v(n) WHERE len(t) >= n""", (2, 3)) + """
+      SELECT k AS doc_id, pos AS first_word, n AS n_words, label FROM found""",
+    "skill_demand": RAW.replace("WITH", "WITH RECURSIVE", 1) + f""", listed AS (SELECT row_no, concat_ws(' / ', "jobTitle", "keySkills", "jobDescription") AS text,
+      string_split({SKILLS}, ', ') AS skills FROM raw), """ + mentions("listed", "row_no", "text", """SELECT DISTINCT s AS phrase, s AS label
+      FROM (SELECT unnest(skills) AS s FROM listed) WHERE s <> ''""", (1, 2)) + """
+      SELECT label, count(DISTINCT k) AS n_rows, count(*) AS n_mentions FROM found GROUP BY label""",
+    "skill_pairs": f"""{RAW}, listed AS (SELECT row_no AS basket, nullif(unnest(string_split({SKILLS}, ', ')), '') AS item FROM raw), """ + together(
+        "listed", f"""a, b, n_a, n_b, n_both, {rnd('d / dn', 9)} AS support, {rnd('d / da', 9)} AS confidence_ab,
+        {rnd('d / db', 9)} AS confidence_ba, {rnd('d * dn / (da * db)', 9)} AS lift""", 20),
+    "suppliers_together": "WITH lines AS (SELECT l_orderkey AS basket, l_suppkey AS item FROM lineitem), " + together(
+        "lines", f"a, b, n_both, {rnd('d * dn / (da * db)', 6)} AS lift", 2),
     "chart_shares": f"{CLEAN} " + shares("clean", ["remote_type"], with_dimension=False),
     "chart_histogram": HISTOGRAM,
     "chart_density": DENSITY,

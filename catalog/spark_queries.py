@@ -10,12 +10,14 @@ from catalog.bindings import raw_postings, table
 from postmill.functions import postings as P
 from postmill.functions.numeric import round_even
 from postmill.functions.text import clean_text
+from postmill.operators.cooccurrence import associations
 from postmill.operators.correlation import correlation_matrix, correlations
 from postmill.operators.describe import categorical_stats, grouped_stats, numeric_stats
 from postmill.operators.duplicates import count_exact_duplicates, keep_first
 from postmill.operators.frequency import cross_table, distributions, top_values, top_values_per_column
 from postmill.operators.mapping import normalize_columns
 from postmill.operators.outliers import flag_outliers, iqr_outliers, zscore_outliers
+from postmill.operators.phrases import demand, find_phrases, words
 from postmill.plans import charts, profile, quality
 from postmill.plans.cleaning import CleanedPostings, clean_postings
 from postmill.sources.staging import staged
@@ -143,6 +145,38 @@ def _histogram(orders: DataFrame) -> DataFrame:
     return bars.select("bin", round_even(F.col("low"), 2).alias("low"), round_even(F.col("high"), 2).alias("high"), "count")
 
 
+def _skill_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of two and three words that begin some document, wherever a document has them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    openings = docs.select(words(F.col("text")).alias("w"), F.explode(F.array(F.lit(2), F.lit(3))).alias("n")).where("size(w) >= n")
+    phrases = openings.select(F.array_join(F.slice("w", 1, F.col("n")), " ").alias("phrase"), F.get("w", F.lit(0)).alias("label"))
+    return find_phrases(docs, "text", phrases, ["doc_id"])
+
+
+def _listed_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_postings(spark, sf_dir).select(
+        "row_no", F.explode_outer(P.skills(F.col("keySkills"), T.StringType())).alias("skill"))
+
+
+def _skill_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many postings name each skill that some posting lists, in title, list or description."""
+    listed = _listed_skills(spark, sf_dir).select(F.col("skill").alias("phrase"), F.col("skill").alias("label")).distinct()
+    postings = raw_postings(spark, sf_dir).select("row_no", F.concat_ws(" / ", "jobTitle", "keySkills", "jobDescription").alias("text"))
+    return demand(find_phrases(postings, "text", listed, ["row_no"]), "row_no")
+
+
+def _skill_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = associations(_listed_skills(spark, sf_dir), "row_no", "skill", 20)
+    return pairs.select("a", "b", "n_a", "n_b", "n_both", *[round_even(F.col(c), 9).alias(c) for c in (
+        "support", "confidence_ab", "confidence_ba", "lift")])
+
+
+def _bought_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers that serve the same orders."""
+    pairs = associations(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_suppkey", 2)
+    return pairs.select("a", "b", "n_both", round_even(F.col("lift"), 6).alias("lift"))
+
+
 QUERIES: dict[str, Query] = {
     # statistics
     "numerical_stats": _on("lineitem", lambda t: _nine_digits(numeric_stats(t, "l_extendedprice"))),
@@ -224,6 +258,11 @@ QUERIES: dict[str, Query] = {
     "experience_levels": _on_clean(profile.experience_levels),
     "experience_years": _on_clean(profile.experience_years),
     "insights": _on_clean(profile.insights),
+    # skills in texts, and together
+    "skill_mentions": _skill_mentions,
+    "skill_demand": _skill_demand,
+    "skill_pairs": _skill_pairs,
+    "suppliers_together": _bought_together,
     # chart inputs
     "chart_shares": _on_clean(lambda c: charts.shares(c, "remote_type")),
     "chart_histogram": _on("orders", _histogram),
