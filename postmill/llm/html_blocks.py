@@ -36,6 +36,14 @@ _FURNITURE_WORDS = frozenset(
     "widget complementary contentinfo alert".split()
 )
 _TEXT_WORDS = frozenset("article body content entry main post story text".split())
+#: Reader comments and adverts stay furniture beside a word of the text, and however much of the page they fill.
+_ALWAYS = frozenset("ad ads comment comments".split())
+#: A class that begins or ends so tells the state or layout of a wrapper: has-sidebar, banner-on.
+_STATE_FIRST = frozenset("has no not with without is js wp hide show".split())
+_STATE_LAST = frozenset("on off open closed enabled disabled visible active layout page wrapper template".split())
+_INLINE_ADS = frozenset("ad ads advert adverts advertisement advertising promo promoted sponsor sponsored".split())
+#: Elements that hold all of a page but its head, whatever their class.
+_WHOLE = frozenset(("html", "body"))
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -59,37 +67,89 @@ class Block:
     heading: bool
 
 
-def _is_furniture(name: str, attributes: str, in_main: bool) -> bool:
+def _names(attributes: str) -> list[list[str]]:
+    """The parts of each word of class, id and role, without words that tell a state."""
+    tokens = [t for value in _NAMING.findall(attributes) for t in value.strip("\"'").lower().split()]
+    parts = [[w for w in re.split(r"[^a-z]+", t) if w] for t in tokens]
+    return [p for p in parts if p and (len(p) == 1 or not (p[0] in _STATE_FIRST or p[-1] in _STATE_LAST))]
+
+
+def _is_furniture(name: str, attributes: str, in_main: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is furniture by its kind, or by its names alone, and whether those may yield to its content."""
     if name in _FURNITURE or (name == "header" and not in_main):
-        return True
-    if "=" not in attributes and "hidden" not in attributes:
-        return False
+        return True, False, False
+    if name in _WHOLE or "=" not in attributes and "hidden" not in attributes:
+        return False, False, False
     if _UNSEEN.search(attributes):
-        return True
-    words = {w for value in _NAMING.findall(attributes) for w in re.split(r"[^a-z]+", value.lower())}
+        return True, False, False
+    words = {w for parts in _names(attributes) for w in parts}
     named = words & _FURNITURE_WORDS
-    return bool(named) and not (words & _TEXT_WORDS and not named & {"comment", "comments", "ad", "ads"})
+    by_name = bool(named) and not (words & _TEXT_WORDS and not named & _ALWAYS)
+    return False, by_name, not named & _ALWAYS
+
+
+def _muted(attributes: str) -> bool:
+    """Whether an element inside a line is an advert or not shown."""
+    if "=" not in attributes and "hidden" not in attributes:
+        return False
+    return bool(_UNSEEN.search(attributes)) or any(len(p) == 1 and p[0] in _INLINE_ADS for p in _names(attributes))
+
+
+@dataclass
+class _Open:
+    name: str
+    main: bool
+    furniture: bool  # by an element's kind
+    named: tuple[int, ...]  # elements around that are furniture by their names alone
+
+
+def _wrappers(found: list[Block], named: list[tuple[int, ...]], yields: list[bool], parts: list[tuple[int, ...]]) -> set[int]:
+    """Elements whose names don't count: those around the article or main parts that the fewest of them surround (so cards
+    among related pages stay where an article stands apart), or around most words of a page without such a part."""
+    if parts:
+        open_parts = [p for p in parts if all(yields[e] for e in p)]
+        least = min(map(len, open_parts), default=0)
+        return {e for p in open_parts if len(p) == least for e in p}
+    words = [0] * len(yields)
+    total = 0
+    for block, around in zip(found, named):
+        if not block.furniture:
+            total += block.words - block.linked
+            for e in around:
+                words[e] += block.words - block.linked
+    return {e for e, n in enumerate(words) if yields[e] and n > 0 and 2 * n > total}
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks in page order. Character references are decoded; white space becomes single spaces."""
+    """Text blocks in page order. Character references are decoded; white space becomes single spaces.
+
+    An element is furniture by its kind (``nav``, ``form``), because it isn't shown, or by a word of its class, id or role. The last
+    does not count for an element around an article or main part that lies in no other one, or, on a page that has none, around most
+    of the words; nor ever for ``html`` and ``body``. Adverts inside a line are left out up to their end or that of their block.
+    """
     found: list[Block] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, in main, in furniture
+    named: list[tuple[int, ...]] = []  # beside found
+    yields: list[bool] = []  # per element named as furniture
+    main_parts: list[tuple[int, ...]] = []  # the named elements around each
+    open_tags: list[_Open] = []
     parts: list[str] = []
     linked, in_link, heading = 0, False, False
+    mute, depth = "", 0
+    outside = _Open("", False, False, ())
 
     def flush() -> None:
         nonlocal linked, heading
         words = html.unescape("".join(parts)).split() if parts else []
         if words:
-            _, main, furniture = open_tags[-1] if open_tags else ("", False, False)
-            found.append(Block(" ".join(words), len(words), min(linked, len(words)), main, furniture, heading))
+            place = open_tags[-1] if open_tags else outside
+            found.append(Block(" ".join(words), len(words), min(linked, len(words)), place.main, place.furniture, heading))
+            named.append(place.named)
         parts.clear()
         linked = 0
 
     def add(text: str) -> None:
         nonlocal linked
-        if text:
+        if text and not mute:
             parts.append(text)
             if in_link:
                 linked += len(html.unescape(text).split())
@@ -101,29 +161,46 @@ def blocks(page: str) -> list[Block]:
         name = (m[3] or "").lower()
         if not name:
             continue
+        if mute and name == mute:
+            depth += -1 if m[2] else 1
+            if depth == 0:
+                mute = ""
         if name == "a":
             in_link = not m[2]
         elif name == "br":
             add(" ")
         if name not in _BLOCK:
+            if not mute and not m[2] and name not in _VOID and m[4] and not m[4].endswith("/") and _muted(m[4]):
+                mute, depth = name, 1
             continue
+        mute = ""
         flush()
         if name in _HEADINGS:
             heading = not m[2]
         if m[2]:
             for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == name:
+                if open_tags[i].name == name:
                     del open_tags[i:]
                     break
             in_link = in_link and name in ("p", "li")
         elif name not in _VOID:
-            if open_tags and (open_tags[-1][0] == "p" or open_tags[-1][0] == name in ("li", "option", "dd", "dt", "td", "tr")):
+            if open_tags and (open_tags[-1].name == "p" or open_tags[-1].name == name in ("li", "option", "dd", "dt", "td", "tr")):
                 open_tags.pop()
-            _, main, furniture = open_tags[-1] if open_tags else ("", False, False)
-            furniture = furniture or _is_furniture(name, m[4] or "", main or name in _MAIN)
-            open_tags.append((name, main or name in _MAIN, furniture))
+            around = open_tags[-1] if open_tags else outside
+            main = around.main or name in _MAIN
+            kind, by_name, may_yield = _is_furniture(name, m[4] or "", main)
+            elements = around.named
+            if name in _MAIN and not around.main and not around.furniture:
+                main_parts.append(elements + (len(yields),) * by_name)
+            if by_name:
+                elements = (*elements, len(yields))
+                yields.append(may_yield)
+            open_tags.append(_Open(name, main, around.furniture or kind, elements))
     add(page[at:])
     flush()
+    void = _wrappers(found, named, yields, main_parts) if yields else set()
+    for block, elements in zip(found, named):
+        block.furniture = block.furniture or any(e not in void for e in elements)
     return found
 
 
@@ -198,6 +275,20 @@ h6+ 24+ 5+ 31+
 f12- 50+ 38+ f9-
 fL1- f10- 64+ 5+ 47+ f8-
 f9- 5+ 70+ 41+ f30-
+L30- L30- 60+ 55+ 40+ L30- L25-
+L12- 70+ 44+ L40- L35- L30- 3-
+h5+ 38+ L26- 41+ 36+ L22-
+L24- L28- L30-
+h6+ 9+ 12+ 10+
+11+ 9+ 13+ 12+
+L3- h4+ 10+ 8+ 14+ 11+ f6-
+L1- L1- 12+ 9+ 11+ L2- L2-
+9+ 10+ 12+ 9+ L4-
+60+ 55+ 48+ 7- L3-
+70+ 65+ 7-
+L2- 8- 70+ 52+ 9- L2-
+9+ 8+ 9+
+h4+ 7+ 9+ 8+
 """
 
 
@@ -215,7 +306,7 @@ def _labelled() -> list[tuple[tuple[float, ...], bool]]:
     return rows
 
 
-def grow(rows: list[tuple[tuple[float, ...], bool]], depth: int = 6):
+def grow(rows: list[tuple[tuple[float, ...], bool]], depth: int = 10):
     """A decision tree by Gini impurity: a leaf is a bool, a node (feature, threshold, below, above)."""
     good = sum(y for _, y in rows)
     if depth == 0 or good in (0, len(rows)):

@@ -37,6 +37,47 @@ def test_main_text(spark):
 def test_tree_fits_its_table():
     assert all(html_blocks._decide(html_blocks.tree(), x) == y for x, y in html_blocks._labelled())
 
+    def tested(node):
+        return set() if isinstance(node, bool) else {node[0], *tested(node[2]), *tested(node[3])}
+
+    assert tested(html_blocks.tree()) & {1, 3, 5}  # link densities
+
+
+SOUND = "<h1>A title</h1><p>" + "Some sound words of the text. " * 15 + "</p><p>A short end.</p>"
+
+
+@pytest.mark.parametrize("wrapper", [
+    '<body class="single has-sidebar">', '<body class="home no-comments">', '<html class="banner-on"><body>', '<body id=search>',
+    '<div class="with-sidebar">', '<div class="sidebar-left layout">', '<div class="widget">', '<div id=search><div class="related box">',
+])
+def test_names_of_wrappers(wrapper):
+    want = html_blocks.main_text(f"<article>{SOUND}</article>")
+    cards = '<section class="related"><article><p>Other pages that one could read now</p></article></section>'
+    menu = "<nav><a href=x>Home</a></nav>"
+    assert want.count("\n") == 2
+    assert html_blocks.main_text(f"{menu}{wrapper}<article>{SOUND}</article>{cards}<footer>Us</footer>") == want
+    assert html_blocks.main_text(f"{menu}{wrapper}<div>{SOUND.replace('A short end', 'Words ' * 20)}</div>") != ""
+
+
+@pytest.mark.parametrize("name", ["site-footer", "comment-list", "cookie-banner", "ad-slot", "sidebar", "share-buttons", "entry comments"])
+def test_names_of_furniture(name):
+    junk = f"<div class='{name}'>{'Words of others that go on for long. ' * 30}</div>"
+    assert html_blocks.main_text(f"<article>{SOUND}{junk}</article>") == html_blocks.main_text(f"<article>{SOUND}</article>")
+    if "comment" in name:  # with no article beside, comments may fill most of a page
+        assert "others" not in html_blocks.main_text(f"<body><div>{SOUND}</div>{junk}")
+
+
+def test_links_adverts_and_short_paragraphs():
+    links = "".join("<li><a href=x>%s</a>" % ("word " * 30) for _ in range(2))
+    text = "".join("<p>%s" % ("Some plain words of text. " * 8) for _ in range(4))
+    got = html_blocks.main_text(f"<body><ul>{links}</ul><div>{text}</div><ul>{links}</ul>")
+    assert got == "\n".join([("Some plain words of text. " * 8).strip()] * 4)
+    short = "One two three four five six seven eight nine."
+    assert html_blocks.main_text(f"<body><p>{short}<p>{short}<p>{short}") == "\n".join([short] * 3)
+    inline = ('<article><p>One <span class="ad">buy <span>it</span></span>two <b class="x">three</b><p>four <span class=ad>x<p>five'
+              '<p>six <i hidden>no</i><em class="ad-hoc">seven</em></article>')
+    assert html_blocks.main_text(inline) == "One two three\nfour\nfive\nsix seven"
+
 
 EVENTS = [  # conversation, turn, seq, kind, role, text
     (1, 0, 0, "start", "user", "Hel"), (1, 0, 1, "delta", None, "lo"), (1, 1, 2, "start", "assistant", ""),
