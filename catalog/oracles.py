@@ -457,6 +457,53 @@ def together(source: str, columns: str, least: int) -> str:
   SELECT {columns} FROM rated"""
 
 
+def rank_sums(table: str, value: str, group: str, where: str = "TRUE") -> str:
+    """CTEs: ranks of a column, rank sums per group, the sum of t^3 - t over ties."""
+    return f"""WITH x AS (SELECT {group} AS g, {value}::DOUBLE AS v FROM {table} WHERE {group} IS NOT NULL AND {value} IS NOT NULL AND {where}),
+      t AS (SELECT g, v, count(*) OVER (PARTITION BY v)::DOUBLE AS t, rank() OVER (ORDER BY v)::DOUBLE AS least FROM x),
+      sums AS (SELECT g, count(*)::DOUBLE AS n, sum(least + (t - 1) / 2) AS r FROM t GROUP BY g),
+      ties AS (SELECT count(*)::DOUBLE AS n, sum(t * t - 1) AS tied FROM t)"""
+
+
+def even_tail(x: str, df: str) -> str:
+    """Chi-square tail for even degrees of freedom."""
+    return f"list_sum([exp(k * ln({x} / 2) - {x} / 2 - lgamma(k + 1)) for k in range(0, {df} // 2)])"
+
+
+def kruskal(table: str, value: str, group: str) -> str:
+    return f"""{rank_sums(table, value, group)},
+      h AS (SELECT ties.n, (SELECT count(*) FROM sums) AS k, (12 / (ties.n * (ties.n + 1)) * (SELECT sum(pow(r - n * (ties.n + 1) / 2, 2) / n)
+        FROM sums)) / (1 - tied / (pow(ties.n, 3) - ties.n)) AS h FROM ties), h2 AS (SELECT *, k - 1 AS df FROM h)
+      SELECT n::BIGINT AS n, k AS n_groups, {rnd('h', 6)} AS h, df, {rnd(even_tail('h', 'df'), 9)} AS p_value,
+        {rnd('h / (n - 1)', 9)} AS epsilon_squared FROM h2"""
+
+
+def rank_test(table: str, value: str, group: str, first: str, second: str) -> str:
+    """The two-sided tail is integrated by Simpson's rule from 0 to z."""
+    density = "2 / sqrt(2 * pi()) * exp(-pow(abs(z) * i / 4000, 2) / 2)"
+    return f"""{rank_sums(table, value, group, f"{group} IN ('{first}', '{second}')")},
+      s AS (SELECT a.n AS a, b.n AS b, a.r - a.n * (a.n + 1) / 2 AS u, tied FROM sums a, sums b, ties WHERE a.g = '{first}' AND b.g = '{second}'),
+      z AS (SELECT *, sign(u - a * b / 2) * greatest(abs(u - a * b / 2) - 0.5, 0)
+        / sqrt(a * b / 12 * (a + b + 1 - tied / ((a + b) * (a + b - 1)))) AS z FROM s),
+      p AS (SELECT 1 - abs(any_value(z)) / 4000 / 3 * sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * {density}) AS p
+        FROM z, range(0, 4001) r(i))
+      SELECT a::BIGINT AS n_first, b::BIGINT AS n_second, u, {rnd('z', 9)} AS z, {rnd('p', 9)} AS p_value,
+        {rnd('u / (a * b)', 9)} AS superiority FROM z, p"""
+
+
+def dependence(table: str, a: str, b: str) -> str:
+    return f"""WITH x AS (SELECT {a} AS a, {b} AS b FROM {table} WHERE {a} IS NOT NULL AND {b} IS NOT NULL),
+      ra AS (SELECT a, count(*)::DOUBLE AS m FROM x GROUP BY a), rb AS (SELECT b, count(*)::DOUBLE AS m FROM x GROUP BY b),
+      o AS (SELECT a, b, count(*)::DOUBLE AS o FROM x GROUP BY a, b), n AS (SELECT count(*)::DOUBLE AS n FROM x),
+      cells AS (SELECT o, ra.m * rb.m / n AS e FROM ra CROSS JOIN rb CROSS JOIN n LEFT JOIN o ON o.a = ra.a AND o.b = rb.b),
+      c AS (SELECT (SELECT n FROM n) AS n, (SELECT count(*) FROM ra) AS ka, (SELECT count(*) FROM rb) AS kb,
+        sum(pow(coalesce(o, 0) - e, 2) / e) AS chi, min(e) AS least, count(o) FILTER (e < 5) AS low FROM cells),
+      d AS (SELECT *, (ka - 1) * (kb - 1) AS df FROM c)
+      SELECT n::BIGINT AS n, ka AS n_first, kb AS n_second, {rnd('chi', 6)} AS chi_square, df, {rnd(even_tail('chi', 'df'), 9)} AS p_value,
+        {rnd('sqrt(chi / n / (least(ka, kb) - 1))', 9)} AS cramers_v, {rnd('least', 9)} AS least_expected, low AS low_cells, least < 5 AS low_expected
+      FROM d""".replace("least(ka, kb)", "(CASE WHEN ka < kb THEN ka ELSE kb END)")
+
+
 ORACLES: dict[str, str] = {
     "numerical_stats": numeric("lineitem", "l_extendedprice", ("std", "variance")),
     "numerical_stats_events": numeric("events", "value"),
@@ -477,6 +524,11 @@ ORACLES: dict[str, str] = {
     "outlier_rows": """WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)
       SELECT event_id, event_type, value FROM events, q
       WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""",
+    "kruskal_wallis": kruskal("orders", "o_totalprice", "o_orderpriority"),
+    "kruskal_wallis_ties": kruskal("lineitem", "l_quantity", "l_returnflag"),
+    "mann_whitney": rank_test("lineitem", "l_quantity", "l_linestatus", "F", "O"),
+    "chi_square": dependence("orders", "o_orderpriority", "o_orderstatus"),
+    "chi_square_sparse": dependence("part", "p_brand", "p_size"),
     "corr_pearson": pearson("lineitem", LINE_METRICS),
     "corr_spearman": spearman("lineitem", LINE_METRICS),
     "corr_matrix": "WITH m AS (" + pearson("part", ["p_size", "p_retailprice", "p_partkey"]) + """)

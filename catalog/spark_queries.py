@@ -15,6 +15,7 @@ from postmill.operators.correlation import correlation_matrix, correlations
 from postmill.operators.describe import categorical_stats, grouped_stats, numeric_stats
 from postmill.operators.duplicates import count_exact_duplicates, keep_first
 from postmill.operators.frequency import cross_table, distributions, top_values, top_values_per_column
+from postmill.operators.inference import chi_square, kruskal_wallis, mann_whitney
 from postmill.operators.mapping import normalize_columns
 from postmill.operators.outliers import flag_outliers, iqr_outliers, zscore_outliers
 from postmill.operators.phrases import demand, find_phrases, words
@@ -177,6 +178,15 @@ def _bought_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("a", "b", "n_both", round_even(F.col("lift"), 6).alias("lift"))
 
 
+def _rounded(df: DataFrame) -> DataFrame:
+    """Test figures as they are compared: doubles to nine digits, chi-square values to six."""
+    digits = {"h": 6, "chi_square": 6}
+    return df.select(*[
+        round_even(F.col(f.name), digits.get(f.name, 9)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+        for f in df.schema.fields
+    ])
+
+
 QUERIES: dict[str, Query] = {
     # statistics
     "numerical_stats": _on("lineitem", lambda t: _nine_digits(numeric_stats(t, "l_extendedprice"))),
@@ -193,6 +203,12 @@ QUERIES: dict[str, Query] = {
     "corr_pearson": _on("lineitem", lambda t: correlations(t, LINE_METRICS)),
     "corr_spearman": _on("lineitem", lambda t: correlations(t, LINE_METRICS, "spearman")),
     "corr_matrix": _on("part", lambda t: correlation_matrix(t, ["p_size", "p_retailprice", "p_partkey"])),
+    # tests of difference and dependence
+    "kruskal_wallis": _on("orders", lambda t: _rounded(kruskal_wallis(t, "o_totalprice", "o_orderpriority"))),
+    "kruskal_wallis_ties": _on("lineitem", lambda t: _rounded(kruskal_wallis(t, "l_quantity", "l_returnflag"))),
+    "mann_whitney": _on("lineitem", lambda t: _rounded(mann_whitney(t, "l_quantity", "l_linestatus", "F", "O"))),
+    "chi_square": _on("orders", lambda t: _rounded(chi_square(t, "o_orderpriority", "o_orderstatus"))),
+    "chi_square_sparse": _on("part", lambda t: _rounded(chi_square(t, "p_brand", "p_size"))),
     # frequencies
     "distributions": _on("orders", lambda t: distributions(t, ["o_orderpriority", "o_orderstatus"])),
     "top_values": _on("part", lambda t: top_values(t, "p_brand", 10)),
