@@ -11,6 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postmill.sources.readers import spread
 
+#: How a day is told against the date of an order: one of ten ways, with a quantity of 1 to 40.
+TOLD_SQL = """CASE o_orderkey % 10 WHEN 0 THEN 'Just posted' WHEN 1 THEN 'Yesterday' WHEN 2 THEN concat('Posted ', n, ' days ago')
+  WHEN 3 THEN concat(n, '+ days ago') WHEN 4 THEN concat('over ', n, ' Weeks ago') WHEN 5 THEN concat(n, ' months  ago.')
+  WHEN 6 THEN concat(n, ' hours ago') WHEN 7 THEN 'last month' WHEN 8 THEN concat('in ', n, ' days') ELSE 'a year ago' END"""
+
 POSTINGS_SQL = """
 WITH numbered AS (
   SELECT o_orderkey AS k, o_orderkey % 30 + 1 AS a, o_orderkey % 30 + 5 AS b, c_name, n_name,

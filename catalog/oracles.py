@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.bindings import duckdb_postings_sql
+from catalog.bindings import TOLD_SQL, duckdb_postings_sql
 from catalog.spark_queries import LANGUAGES, LINE_METRICS
 
 LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LINE_METRICS]
@@ -603,6 +603,13 @@ ORACLES: dict[str, str] = {
       string_split({SKILLS}, ', ') AS skills FROM raw), """ + mentions("listed", "row_no", "text", """SELECT DISTINCT s AS phrase, s AS label
       FROM (SELECT unnest(skills) AS s FROM listed) WHERE s <> ''""", (1, 2)) + """
       SELECT label, count(DISTINCT k) AS n_rows, count(*) AS n_mentions FROM found GROUP BY label""",
+    "relative_dates": f"""WITH told AS (SELECT o_orderkey, o_orderdate::DATE AS d, (o_orderkey % 40 + 1)::VARCHAR AS n, o_orderkey % 10 AS way FROM orders),
+      texts AS (SELECT *, lower({TOLD_SQL}) AS t FROM told),
+      days AS (SELECT *, try_cast(regexp_extract(t, '([0-9]+)', 1) AS INT) AS k FROM texts),
+      found AS (SELECT *, CASE WHEN t LIKE 'in %' THEN NULL WHEN t = 'just posted' THEN d WHEN t = 'yesterday' THEN d - 1 WHEN t LIKE '%days%' THEN d - k
+        WHEN t LIKE '%weeks%' THEN d - 7 * k WHEN t LIKE '%months%' THEN (d - to_months(k))::DATE WHEN t LIKE '%hours%' THEN d - k // 24
+        WHEN t = 'last month' THEN (d - to_months(1))::DATE ELSE (d - to_months(12))::DATE END AS day FROM days)
+      SELECT o_orderkey, strftime(day, '%Y-%m-%d') AS posted, CASE WHEN day IS NOT NULL THEN t LIKE '%+%' OR t LIKE 'over %' END AS at_least FROM found""",
     "skill_pairs": f"""{RAW}, listed AS (SELECT row_no AS basket, nullif(unnest(string_split({SKILLS}, ', ')), '') AS item FROM raw), """ + together(
         "listed", f"""a, b, n_a, n_b, n_both, {rnd('d / dn', 9)} AS support, {rnd('d / da', 9)} AS confidence_ab,
         {rnd('d / db', 9)} AS confidence_ba, {rnd('d * dn / (da * db)', 9)} AS lift""", 20),

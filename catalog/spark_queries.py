@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from catalog.bindings import raw_postings, table
+from catalog.bindings import TOLD_SQL, raw_postings, table
 from postmill.functions import postings as P
 from postmill.functions.numeric import round_even
+from postmill.functions.relative_dates import relative_date
 from postmill.functions.text import clean_text
 from postmill.operators.cooccurrence import associations
 from postmill.operators.correlation import correlation_matrix, correlations
@@ -178,6 +179,12 @@ def _bought_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("a", "b", "n_both", round_even(F.col("lift"), 6).alias("lift"))
 
 
+def _told(orders: DataFrame) -> DataFrame:
+    told = orders.withColumn("n", F.expr("cast(o_orderkey % 40 + 1 AS string)")).withColumn("told", F.expr(TOLD_SQL))
+    told = told.withColumn("day", relative_date(F.col("told"), F.col("o_orderdate")))
+    return told.select("o_orderkey", F.col("day.date").cast("string").alias("posted"), F.col("day.at_least").alias("at_least"))
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     """Test figures as they are compared: doubles to nine digits, chi-square values to six."""
     digits = {"h": 6, "chi_square": 6}
@@ -278,6 +285,7 @@ QUERIES: dict[str, Query] = {
     "skill_mentions": _skill_mentions,
     "skill_demand": _skill_demand,
     "skill_pairs": _skill_pairs,
+    "relative_dates": _on("orders", _told),
     "suppliers_together": _bought_together,
     # chart inputs
     "chart_shares": _on_clean(lambda c: charts.shares(c, "remote_type")),
