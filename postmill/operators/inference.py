@@ -17,7 +17,7 @@ RANGE_BITS = 10
 _EXACT = "decimal(38,0)"
 
 
-def _range_no(v: Column, edges: Column, bits: int) -> Column:
+def range_no(v: Column, edges: Column, bits: int) -> Column:
     """How many edges lie at or below v, by halving."""
     steps = F.sequence(F.lit(bits - 1), F.lit(0))
 
@@ -42,7 +42,7 @@ def rank_cells(df: DataFrame, value: str, group: str, bits: int = RANGE_BITS) ->
     edges = rows.agg(F.percentile_approx("v", steps, 10 * count))
     cells = rows.groupBy("g", "v").agg(F.count("*").alias("n"))
     cells = cells.withColumn("edges", edges.scalar())
-    cells = cells.select("g", "v", "n", _range_no(F.col("v"), F.col("edges"), bits).alias("range"))
+    cells = cells.select("g", "v", "n", range_no(F.col("v"), F.col("edges"), bits).alias("range"))
 
     sizes = cells.groupBy("range").agg(F.sum("n").alias("size"))  # one row per range, 2^bits at most
     before = F.sum("size").over(Window.partitionBy(F.lit(0)).orderBy("range")) - F.col("size")
