@@ -504,6 +504,40 @@ def dependence(table: str, a: str, b: str) -> str:
       FROM d""".replace("least(ka, kb)", "(CASE WHEN ka < kb THEN ka ELSE kb END)")
 
 
+def pairs_in_order(table: str, x: str, y: str) -> str:
+    """Kendall's tau-b from all pairs of distinct cells, its variance by the sums over ties."""
+    def ties(name: str, by: str) -> str:
+        return f"""{name} AS (SELECT coalesce(sum(n * (n - 1)), 0)::DOUBLE AS two, sum(n * (n - 1) * (2 * n + 5))::DOUBLE AS five,
+          sum(n * (n - 1) * (n - 2))::DOUBLE AS three FROM (SELECT sum(n)::DOUBLE AS n FROM c GROUP BY {by}))"""
+
+    return f"""WITH c AS (SELECT {x} AS x, {y} AS y, count(*)::BIGINT AS n FROM {table} WHERE {x} IS NOT NULL AND {y} IS NOT NULL GROUP BY 1, 2),
+      p AS (SELECT (SELECT sum(n) FROM c)::DOUBLE AS n, sum(CASE WHEN a.y < b.y THEN a.n * b.n ELSE 0 END)::BIGINT AS con,
+        sum(CASE WHEN a.y > b.y THEN a.n * b.n ELSE 0 END)::BIGINT AS dis FROM c a JOIN c b ON a.x < b.x),
+      {ties('tx', 'x')}, {ties('ty', 'y')},
+      s AS (SELECT p.*, (con - dis) / sqrt((n * (n - 1) - tx.two) / 2 * ((n * (n - 1) - ty.two) / 2)) AS tau,
+        (con - dis) / sqrt((n * (n - 1) * (2 * n + 5) - tx.five - ty.five) / 18 + tx.two * ty.two / (2 * n * (n - 1))
+        + tx.three * ty.three / (9 * n * (n - 1) * (n - 2))) AS z FROM p, tx, ty),
+      q AS (SELECT 1 - abs(any_value(z)) / 4000 / 3 * sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+        * 2 / sqrt(2 * pi()) * exp(-pow(abs(z) * i / 4000, 2) / 2)) AS p FROM s, range(0, 4001) r(i))
+      SELECT n::BIGINT AS n, con AS concordant, dis AS discordant, {rnd('tau', 9)} AS tau_b, {rnd('z', 9)} AS z, {rnd('q.p', 9)} AS p_value FROM s, q"""
+
+
+def intervals(table: str, group: str, value: str, means: bool) -> str:
+    """Intervals at 0.95: binomial ranks up to 200 values; Student's t by its expansion, for large groups only."""
+    z = 1.959963984540054
+    far = (f"({z} + {(z**3 + z) / 4} / k + {(5 * z**5 + 16 * z**3 + 3 * z) / 96} / pow(k, 2) + {(3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384}"
+           f" / pow(k, 3) + {(79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160} / pow(k, 4))")
+    below = "list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2)) for i in range(0, l)])"
+    ends = f"{rnd(f'mean - {far} * sd / sqrt(n)', 4)} AS mean_low, {rnd(f'mean + {far} * sd / sqrt(n)', 4)} AS mean_high, " if means else ""
+    return f"""WITH x AS (SELECT {group} AS g, {value}::DOUBLE AS v, row_number() OVER (PARTITION BY {group} ORDER BY {value}) AS i
+        FROM {table} WHERE {group} IS NOT NULL AND {value} IS NOT NULL),
+      s AS (SELECT g, count(*) AS n, count(*) - 1.0::DOUBLE AS k, avg(v) AS mean, stddev_samp(v) AS sd, median(v) AS median FROM x GROUP BY g),
+      r AS (SELECT n, max(l) AS l FROM (SELECT DISTINCT n FROM s WHERE n <= 200) d, range(1, 201) t(l) WHERE l <= n AND {below} <= 0.025 GROUP BY n),
+      w AS (SELECT s.*, CASE WHEN s.n <= 200 THEN r.l ELSE floor(s.n / 2 + 0.5 - {z} / 2 * sqrt(s.n))::BIGINT END AS l FROM s LEFT JOIN r ON s.n = r.n)
+      SELECT w.g AS {group}, n, {rnd('mean', 4)} AS mean, {ends}{rnd('median', 4)} AS median, {rnd('a.v', 4)} AS median_low, {rnd('b.v', 4)} AS median_high
+      FROM w LEFT JOIN x a ON a.g = w.g AND a.i = l LEFT JOIN x b ON b.g = w.g AND b.i = n + 1 - l"""
+
+
 ORACLES: dict[str, str] = {
     "numerical_stats": numeric("lineitem", "l_extendedprice", ("std", "variance")),
     "numerical_stats_events": numeric("events", "value"),
@@ -529,6 +563,10 @@ ORACLES: dict[str, str] = {
     "mann_whitney": rank_test("lineitem", "l_quantity", "l_linestatus", "F", "O"),
     "chi_square": dependence("orders", "o_orderpriority", "o_orderstatus"),
     "chi_square_sparse": dependence("part", "p_brand", "p_size"),
+    "kendall": pairs_in_order("orders", "o_totalprice", "o_custkey"),
+    "kendall_ties": pairs_in_order("lineitem", "l_quantity", "l_discount"),
+    "group_intervals": intervals("orders", "o_orderpriority", "o_totalprice", True),
+    "group_intervals_small": intervals("part", "p_size", "p_retailprice", False),
     "corr_pearson": pearson("lineitem", LINE_METRICS),
     "corr_spearman": spearman("lineitem", LINE_METRICS),
     "corr_matrix": "WITH m AS (" + pearson("part", ["p_size", "p_retailprice", "p_partkey"]) + """)

@@ -11,12 +11,14 @@ from postmill.functions import postings as P
 from postmill.functions.numeric import round_even
 from postmill.functions.relative_dates import relative_date
 from postmill.functions.text import clean_text
+from postmill.operators.concordance import kendall
 from postmill.operators.cooccurrence import associations
 from postmill.operators.correlation import correlation_matrix, correlations
 from postmill.operators.describe import categorical_stats, grouped_stats, numeric_stats
 from postmill.operators.duplicates import count_exact_duplicates, keep_first
 from postmill.operators.frequency import cross_table, distributions, top_values, top_values_per_column
 from postmill.operators.inference import chi_square, kruskal_wallis, mann_whitney
+from postmill.operators.intervals import group_intervals
 from postmill.operators.mapping import normalize_columns
 from postmill.operators.outliers import flag_outliers, iqr_outliers, zscore_outliers
 from postmill.operators.phrases import demand, find_phrases, words
@@ -194,6 +196,16 @@ def _rounded(df: DataFrame) -> DataFrame:
     ])
 
 
+def _kendall(df: DataFrame, first: str, second: str) -> DataFrame:
+    """Pair counts as whole numbers of 64 bits, which the test tables do not exceed."""
+    return _rounded(kendall(df, first, second)).withColumns({c: F.col(c).cast("long") for c in ("concordant", "discordant")})
+
+
+def _intervals(df: DataFrame, group: str, value: str) -> DataFrame:
+    out = group_intervals(df, group, value)
+    return out.select(*[round_even(F.col(c), 4).alias(c) if c not in (group, "n") else F.col(c) for c in out.columns])
+
+
 QUERIES: dict[str, Query] = {
     # statistics
     "numerical_stats": _on("lineitem", lambda t: _nine_digits(numeric_stats(t, "l_extendedprice"))),
@@ -216,6 +228,12 @@ QUERIES: dict[str, Query] = {
     "mann_whitney": _on("lineitem", lambda t: _rounded(mann_whitney(t, "l_quantity", "l_linestatus", "F", "O"))),
     "chi_square": _on("orders", lambda t: _rounded(chi_square(t, "o_orderpriority", "o_orderstatus"))),
     "chi_square_sparse": _on("part", lambda t: _rounded(chi_square(t, "p_brand", "p_size"))),
+    "kendall": _on("orders", lambda t: _kendall(t, "o_totalprice", "o_custkey")),
+    "kendall_ties": _on("lineitem", lambda t: _kendall(t, "l_quantity", "l_discount")),
+    "group_intervals": _on("orders", lambda t: _intervals(t, "o_orderpriority", "o_totalprice")),
+    "group_intervals_small": _on(
+        "part", lambda t: _intervals(t, "p_size", "p_retailprice").drop("mean_low", "mean_high")
+    ),
     # frequencies
     "distributions": _on("orders", lambda t: distributions(t, ["o_orderpriority", "o_orderstatus"])),
     "top_values": _on("part", lambda t: top_values(t, "p_brand", 10)),

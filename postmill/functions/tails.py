@@ -1,13 +1,16 @@
-"""Tail probabilities of the normal and chi-square distributions as column expressions."""
+"""Tail probabilities of the normal and chi-square distributions, and points of Student's t, as column expressions."""
 
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 from pyspark.sql import Column, functions as F
 
 #: Degrees of freedom up to which the chi-square tail is a finite sum.
 EXACT_DF = 1_000_000
+#: Degrees of freedom up to which points of Student's t come from a table.
+EXACT_T = 60
 _TERMS = 80
 
 
@@ -57,3 +60,44 @@ def chi_square_tail(x: Column, df: Column) -> Column:
     one_side = F.when(z >= 0, _erfc(F.abs(z) / math.sqrt(2.0)) / 2.0).otherwise(1.0 - _erfc(F.abs(z) / math.sqrt(2.0)) / 2.0)
     tail = F.when(half <= 0, 1.0).when(df <= EXACT_DF, F.least(exact, F.lit(1.0))).otherwise(one_side)
     return F.when(x.isNotNull() & (df >= 1), tail)
+
+
+def _t_share(t: float, df: int) -> float:
+    """Probability that a value of Student's t lies within t of zero, by its finite sum."""
+    angle = math.atan2(t, math.sqrt(df))
+    cos2 = math.cos(angle) ** 2
+    odd = df % 2
+    term, total = (math.cos(angle), 0.0) if odd else (1.0, 0.0)
+    for k in range(df // 2):
+        total += term
+        term *= cos2 * (2 * k + 1 + odd) / (2 * k + 2 + odd)
+    total *= math.sin(angle)
+    return 2.0 / math.pi * (angle + total) if odd else total
+
+
+def _t_point(df: int, level: float) -> float:
+    low, high = 0.0, 1.0
+    while _t_share(high, df) < level:
+        high *= 2.0
+    for _ in range(200):
+        middle = (low + high) / 2.0
+        low, high = (middle, high) if _t_share(middle, df) < level else (low, middle)
+    return (low + high) / 2.0
+
+
+def t_point(df: Column, level: float) -> Column:
+    """The distance from zero within which Student's t falls with the given probability; NULL for df < 1.
+
+    A short table up to ``EXACT_T`` degrees of freedom, beyond it the expansion about the normal point (error below 1e-7 there
+    at levels up to 0.999).
+    """
+    z = NormalDist().inv_cdf((1.0 + level) / 2.0)
+    terms = (
+        (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96, (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+        (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160,
+    )
+    far = F.lit(z)
+    for power, term in enumerate(terms, 1):
+        far = far + term / F.pow(df.cast("double"), F.lit(float(power)))
+    near = F.get(F.array(*[F.lit(_t_point(k, level)) for k in range(1, EXACT_T + 1)]), (df - 1).cast("int"))
+    return F.when(df < 1, None).when(df <= EXACT_T, near).otherwise(far)
