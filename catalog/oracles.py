@@ -567,6 +567,11 @@ ORACLES: dict[str, str] = {
     "kendall_ties": pairs_in_order("lineitem", "l_quantity", "l_discount"),
     "group_intervals": intervals("orders", "o_orderpriority", "o_totalprice", True),
     "group_intervals_small": intervals("part", "p_size", "p_retailprice", False),
+    "merged_profile": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS "rows", count(*) - count({c}) AS missing, {rnd(f'avg({c}::DOUBLE)', 6)} AS mean,
+        {rnd(f'stddev_samp({c}::DOUBLE)', 6)} AS std, min({c})::DOUBLE AS least, max({c})::DOUBLE AS most, TRUE AS distinct_within,
+        TRUE AS median_within FROM events""" for c in ("value", "user_id")
+    ) + """ UNION ALL SELECT 'event_type', count(*), count(*) - count(event_type), NULL, NULL, NULL, NULL, TRUE, NULL FROM events""",
     "corr_pearson": pearson("lineitem", LINE_METRICS),
     "corr_spearman": spearman("lineitem", LINE_METRICS),
     "corr_matrix": "WITH m AS (" + pearson("part", ["p_size", "p_retailprice", "p_partkey"]) + """)

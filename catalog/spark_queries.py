@@ -22,6 +22,7 @@ from postmill.operators.intervals import group_intervals
 from postmill.operators.mapping import normalize_columns
 from postmill.operators.outliers import flag_outliers, iqr_outliers, zscore_outliers
 from postmill.operators.phrases import demand, find_phrases, words
+from postmill.operators.states import merge_states, profile_states, read_states
 from postmill.plans import charts, profile, quality
 from postmill.plans.cleaning import CleanedPostings, clean_postings
 from postmill.sources.staging import staged
@@ -206,6 +207,27 @@ def _intervals(df: DataFrame, group: str, value: str) -> DataFrame:
     return out.select(*[round_even(F.col(c), 4).alias(c) if c not in (group, "n") else F.col(c) for c in out.columns])
 
 
+EVENT_COLUMNS = ["value", "user_id", "event_type"]
+
+
+def _merged_profile(t: DataFrame) -> DataFrame:
+    """Profile of all events from the states of their days: exact figures, and whether each sketch keeps to its error."""
+    days = profile_states(t.withColumn("day", F.to_date("ts")), EVENT_COLUMNS, ["day"])
+    merged = read_states(merge_states(days), [0.5])
+    exact = t.agg(F.map_from_arrays(
+        F.array(*[F.lit(c) for c in EVENT_COLUMNS]), F.array(*[F.count_distinct(c) for c in EVENT_COLUMNS]),
+    )).scalar()
+    below = t.agg(F.map_from_arrays(F.array(*[F.lit(c) for c in EVENT_COLUMNS[:2]]), F.array(*[
+        F.percentile_approx(F.col(c).cast("double"), [0.45, 0.55], 10_000) for c in EVENT_COLUMNS[:2]
+    ]))).scalar()
+    middle = F.col("approx_quantiles")[0]
+    return merged.withColumns({"exact": exact[F.col("column")], "ends": F.try_element_at(below, F.col("column"))}).select(
+        "column", "rows", "missing", round_even(F.col("mean"), 6).alias("mean"), round_even(F.col("std"), 6).alias("std"), "least", "most",
+        (F.abs(F.col("approx_distinct") - F.col("exact")) <= F.greatest(0.08 * F.col("exact"), F.lit(1))).alias("distinct_within"),
+        ((middle >= F.col("ends")[0]) & (middle <= F.col("ends")[1])).alias("median_within"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     # statistics
     "numerical_stats": _on("lineitem", lambda t: _nine_digits(numeric_stats(t, "l_extendedprice"))),
@@ -234,6 +256,7 @@ QUERIES: dict[str, Query] = {
     "group_intervals_small": _on(
         "part", lambda t: _intervals(t, "p_size", "p_retailprice").drop("mean_low", "mean_high")
     ),
+    "merged_profile": _on("events", _merged_profile),
     # frequencies
     "distributions": _on("orders", lambda t: distributions(t, ["o_orderpriority", "o_orderstatus"])),
     "top_values": _on("part", lambda t: top_values(t, "p_brand", 10)),
