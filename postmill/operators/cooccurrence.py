@@ -1,8 +1,10 @@
 """Pairs of items that occur together, with support, confidence and lift.
 
-Items below the least support are pruned first. The others are numbered by falling frequency and cut into tiles; a basket becomes one row for
-each pair of tiles it has items in, so that 10,000 items make some hundred rows and not fifty million pairs. A task adds the
-rows of a tile pair into one small matrix; hot tile pairs are dealt over shares whose matrices are summed.
+Items below the least support are pruned first, the others are numbered. The pairs of a basket become rows that are counted where they arise, before
+any shuffle. Where that would be many more rows than pairs of tiles (runs of numbers) the basket has items in, it becomes one row for each
+pair of tiles instead, so that 10,000 items of as many make some hundred rows and not fifty million pairs. A task adds the rows of a tile pair
+into one small matrix, or sorts them while they are few; hot tile pairs are dealt over shares whose counts are summed. So the work follows the
+rows, however many items there are: tile pairs without a common basket cost nothing.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 #: Items in a tile: a matrix has 512 x 512 counts, 2 MB.
 TILE = 512
+#: Items up to which a basket always becomes pairs, and pairs per row of tiles up to which a larger one does.
+FEW_ITEMS, FEW_PAIRS = 32, 8
 
 
 def item_counts(baskets: DataFrame, basket: str, item: str) -> DataFrame:
@@ -29,10 +33,19 @@ def pair_counts(baskets: DataFrame, basket: str, item: str, least: int, tile: in
     shares = shares or int(spark.conf.get("spark.sql.shuffle.partitions"))
     once = baskets.where(F.col(item).isNotNull()).select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
     frequent = once.groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    # As many rows as items can reach the least support: at most all occurrences divided by it.
-    numbered = frequent.withColumn("number", F.row_number().over(Window.orderBy(F.desc("n"), "item")) - 1).persist()
-    tiled = once.join(numbered.select("item", "number"), "item").select(
-        "basket", F.floor(F.col("number") / tile).cast("int").alias("tile"), (F.col("number") % tile).cast("int").alias("place"))
+    # Numbers fall with frequency within each of some buckets, which are ranked side by side.
+    frequent = frequent.withColumn("bucket", F.pmod(F.xxhash64("item"), F.lit(shares)))
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("n"), "item")).cast("bigint")
+    numbered = frequent.select("item", "n", ((rank - 1) * shares + F.col("bucket")).alias("number")).persist()
+    whole = once.join(numbered.select("item", "number"), "item").groupBy("basket").agg(F.sort_array(F.collect_list("number")).alias("items"))
+    size = F.size("items").cast("bigint")
+    tiles = F.size(F.array_distinct(F.transform("items", lambda x: F.floor(x / tile)))).cast("bigint")
+    few = (size <= FEW_ITEMS) | (size * (size - 1) <= FEW_PAIRS * tiles * (tiles + 1))
+    single = whole.where(few).select("items", F.posexplode("items").alias("i", "x")).select(
+        "x", F.explode(F.slice("items", F.col("i") + 2, F.size("items"))).alias("y"), F.lit(1).cast("bigint").alias("n"))
+
+    places = whole.where(~few).select("basket", F.explode("items").alias("number"))
+    tiled = places.select("basket", F.floor(F.col("number") / tile).cast("int").alias("tile"), (F.col("number") % tile).cast("int").alias("place"))
     cut = tiled.groupBy("basket", "tile").agg(F.collect_list("place").alias("places"))
     rows = cut.groupBy("basket").agg(F.array_sort(F.collect_list(F.struct("tile", "places"))).alias("tiles"))
     left = rows.select("basket", "tiles", F.posexplode("tiles").alias("i", "x"))
@@ -42,21 +55,32 @@ def pair_counts(baskets: DataFrame, basket: str, item: str, least: int, tile: in
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ta, tb = key[0].as_py(), key[1].as_py()
-        counts = np.zeros((tile, tile), np.int64)
+        counts, cells, held = None, [], 0
         for batch in batches:
             for x, y in zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist()):
-                counts[np.ix_(x, y)] += 1
+                if counts is not None:
+                    counts[np.ix_(x, y)] += 1
+                    continue
+                cells.append((np.array(x)[:, None] * tile + np.array(y)).ravel())
+                held += len(cells[-1])
+                if held > tile * tile // 16:
+                    counts, cells = np.bincount(np.concatenate(cells), minlength=tile * tile).reshape(tile, tile), []
+        if counts is None:
+            found, n = np.unique(np.concatenate(cells), return_counts=True)
+        else:
+            found = np.flatnonzero(counts)
+            n = counts.ravel()[found]
         if ta == tb:
-            counts = np.triu(counts, 1)
-        a, b = np.nonzero(counts)
-        for low in range(0, len(a), 1 << 16):
-            i, j = a[low:low + (1 << 16)], b[low:low + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(ta * tile + i), pa.array(tb * tile + j), pa.array(counts[i, j])], names=["x", "y", "n"])
+            upper = found // tile < found % tile
+            found, n = found[upper], n[upper]
+        for low in range(0, len(found), 1 << 16):
+            i, j = np.divmod(found[low:low + (1 << 16)], tile)
+            yield pa.RecordBatch.from_arrays([pa.array(ta * tile + i), pa.array(tb * tile + j), pa.array(n[low:low + (1 << 16)])], names=["x", "y", "n"])
 
     partial = pairs.groupBy("ta", "tb", "share").applyInArrow(add, "x bigint, y bigint, n bigint")
-    whole = partial.groupBy("x", "y").agg(F.sum("n").alias("n_both")).where(F.col("n_both") >= least)
-    side = lambda k: numbered.select(F.col("number").cast("bigint").alias(k), F.col("item").alias(f"{k}_item"), F.col("n").alias(f"{k}_n"))
-    named = whole.join(side("x"), "x").join(side("y"), "y")
+    both = single.unionByName(partial).groupBy("x", "y").agg(F.sum("n").alias("n_both")).where(F.col("n_both") >= least)
+    side = lambda k: numbered.select(F.col("number").alias(k), F.col("item").alias(f"{k}_item"), F.col("n").alias(f"{k}_n"))
+    named = both.join(side("x"), "x").join(side("y"), "y")
     first = F.col("x_item") < F.col("y_item")
     return named.select(
         F.when(first, F.col("x_item")).otherwise(F.col("y_item")).alias("a"), F.when(first, F.col("y_item")).otherwise(F.col("x_item")).alias("b"),

@@ -84,3 +84,25 @@ def test_a_row_of_ten_thousand_skills(spark):
     few = spark.createDataFrame([(1, "s1"), (1, "s2"), (2, "s1"), (2, "s2"), (3, "s2")], "id int, skill string")
     got = [tuple(r) for r in pair_counts(wide.union(few), "id", "skill", 2).collect()]
     assert got == [("s1", "s2", 3, 4, 3)]
+
+
+def test_mixed_baskets_equal_brute_force(spark):
+    """Small baskets go by pairs, large dense ones by tiles, and both add up."""
+    rng = random.Random(9)
+    baskets = {i: set(rng.sample(range(90), rng.choice([2, 5, 50, 80]))) for i in range(60)} | {None: set(range(45))}
+    rows = [(i, s) for i, items in baskets.items() for s in items]
+    single = Counter(s for items in baskets.values() for s in items)
+    both = Counter(p for items in baskets.values() for p in combinations(sorted(items), 2))
+    frame = spark.createDataFrame(rows, "id int, item int")
+    for tile, shares in ((512, 1), (16, 3), (4, 2)):
+        got = {(r.a, r.b): (r.n_a, r.n_b, r.n_both) for r in pair_counts(frame, "id", "item", 3, tile, shares).collect()}
+        assert got == {p: (single[p[0]], single[p[1]], n) for p, n in both.items() if n >= 3}
+
+
+def test_small_baskets_need_no_tiles(spark, capsys):
+    """Baskets of few items are counted as rows of pairs, so the work does not follow the number of pairs of tiles."""
+    frame = spark.range(3_000).selectExpr("id basket", "explode(array(id % 1500, id % 1500 + 1500, id % 1500 + 3000)) item")
+    pairs = pair_counts(frame, "basket", "item", 2)
+    assert pairs.where("n_both = 2 AND n_a = 2 AND n_b = 2").count() == pairs.count() == 4_500
+    pairs.explain("simple")
+    assert "Union" in capsys.readouterr().out
