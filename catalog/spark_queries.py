@@ -21,7 +21,7 @@ from postmill.operators.inference import chi_square, kruskal_wallis, mann_whitne
 from postmill.operators.intervals import group_intervals
 from postmill.operators.mapping import normalize_columns
 from postmill.operators.outliers import flag_outliers, iqr_outliers, zscore_outliers
-from postmill.operators.phrases import demand, find_phrases, words
+from postmill.operators.phrases import demand, find_phrases, opening_words
 from postmill.operators.states import merge_states, profile_states, read_states
 from postmill.plans import charts, profile, quality
 from postmill.plans.cleaning import CleanedPostings, clean_postings
@@ -153,8 +153,8 @@ def _histogram(orders: DataFrame) -> DataFrame:
 def _skill_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrases of two and three words that begin some document, wherever a document has them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    openings = docs.select(words(F.col("text")).alias("w"), F.explode(F.array(F.lit(2), F.lit(3))).alias("n")).where("size(w) >= n")
-    phrases = openings.select(F.array_join(F.slice("w", 1, F.col("n")), " ").alias("phrase"), F.get("w", F.lit(0)).alias("label"))
+    openings = docs.select(F.explode(F.array(*[opening_words(F.col("text"), n) for n in (2, 3)])).alias("w")).where("size(w) > 0")
+    phrases = openings.select(F.array_join("w", " ").alias("phrase"), F.get("w", F.lit(0)).alias("label"))
     return find_phrases(docs, "text", phrases, ["doc_id"])
 
 

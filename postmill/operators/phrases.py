@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from postmill.sources.staging import staged
+
 #: Dictionary rows up to which it is broadcast once counted; each is some 60 bytes there.
 BROADCAST_ROWS = 1_000_000
 #: A word: letters and digits, inner dots, a leading dot, and the signs of names like C++ and C#.
@@ -15,6 +17,16 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def opening_words(text: Column, n: int) -> Column:
+    """The first ``n`` of ``words``, or none if there are fewer; the rest of a text is not searched.
+
+    Each word with what parts it from the one before is matched as one piece that is never tried anew, so a text is passed once at most.
+    """
+    text = F.lower(text)
+    opening = F.regexp_substr(text, F.lit("(?s)^" + f"(?>.*?{WORD})" * n))
+    return F.coalesce(F.regexp_extract_all(opening, F.lit(WORD), F.lit(0)), F.when(text.isNotNull(), F.array().cast("array<string>")))
+
+
 def _keys(tokens: Column) -> tuple[Column, Column]:
     """128 bits for a run of words."""
     return F.xxhash64(tokens).alias("k1"), F.xxhash64(F.lit("phrase"), F.size(tokens), tokens).alias("k2")
@@ -37,12 +49,9 @@ def find_phrases(rows: DataFrame, text: str, phrases: DataFrame, keep: list[str]
     Texts are never compared with each phrase in turn, so the cost does not grow with the dictionary. Input rows are taken one by one, whatever
     they share; null texts name nothing.
     """
-    terms = dictionary(phrases).persist()
-    try:
-        lengths = sorted(r.n_words for r in terms.select("n_words").distinct().collect())  # a few numbers
-        n = terms.count()
-    finally:
-        terms.unpersist()
+    terms = staged(dictionary(phrases))  # read again for its lengths, its size and the join
+    lengths = sorted(r.n_words for r in terms.select("n_words").distinct().collect())  # a few numbers
+    n = terms.count()
     numbered = rows.select(*keep, F.monotonically_increasing_id().alias("row"), words(F.col(text)).alias("tokens"))
     size = F.size("tokens")
     if not lengths:

@@ -8,7 +8,7 @@ from itertools import combinations
 import pytest
 
 from postmill.operators.cooccurrence import associations, pair_counts
-from postmill.operators.phrases import demand, find_phrases
+from postmill.operators.phrases import demand, find_phrases, opening_words, words
 
 SKILLS = [("Python", "python"), ("python 3", "python"), ("machine learning", "ml"), ("ML", "ml"), ("machine learning engineer", "role"), ("C++", "c++"),
           ("C#", "c#"), (".NET", "dotnet"), ("Node.js", "node"), ("C", "c"), ("sql server", "sql"), ("SQL", "sql"), (None, "x"), ("--", "y"), ("z", None)]
@@ -106,3 +106,27 @@ def test_small_baskets_need_no_tiles(spark, capsys):
     assert pairs.where("n_both = 2 AND n_a = 2 AND n_b = 2").count() == pairs.count() == 4_500
     pairs.explain("simple")
     assert "Union" in capsys.readouterr().out
+
+
+def test_opening_words_equal_the_first_words(spark):
+    texts = [None, "", "one", "--", "one two", ".net  c++ (c#) more", "a.b..c.d\ne+#f", "ÄÖ ß3 x y", "İx K9", "x" * 100_000, "- " * 50_000 + "a b", "a..b"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    for n in (1, 2, 3):
+        for r in frame.select("t", words(frame.t).alias("all"), opening_words(frame.t, n).alias("some")).collect():
+            expected = r.all if r.all is None else r.all[:n] if len(r.all) >= n else []
+            assert r.some == expected, (r.t or "")[:30]
+
+
+def test_the_dictionary_is_made_once(spark):
+    """Its phrases are not computed again for the join."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    phrases = spark.createDataFrame([("machine learning", "ml"), ("sql", "sql")], "phrase string, label string").mapInArrow(seen, "phrase string, label string")
+    texts = spark.createDataFrame([(1, "SQL and Machine Learning")], "id int, text string")
+    assert sorted(r.label for r in find_phrases(texts, "text", phrases, ["id"]).collect()) == ["ml", "sql"]
+    assert made.value == 2
