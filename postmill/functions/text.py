@@ -147,6 +147,10 @@ def unescape_html(c: Column) -> Column:
     return F.when(c.contains("&"), joined).otherwise(c)
 
 
+#: Listed one by one: ranges make Java test this class many times slower.
+_UNCLEAN = r"[&<\t\n\x0b\f\r\x1c\x1d\x1e\x1f]"
+
+
 def clean_text(c: Column) -> Column:
     """Plain text of an HTML fragment: references resolved, tags out, whitespace collapsed.
 
@@ -158,7 +162,12 @@ def clean_text(c: Column) -> Column:
         untagged = F.regexp_replace(unescape_html(text), "<[^>]+>", " ")
         return F.coalesce(F.trim(F.regexp_replace(untagged, f"(?U){SPACE}+", " ")), F.lit(""))
 
-    return let(c, plain)
+    def cleaned(text: Column) -> Column:
+        # ASCII without "&", "<", surplus blanks and other white space is clean already, which costs less to tell.
+        clean = (F.octet_length(text) == F.length(text)) & ~text.startswith(" ") & ~text.endswith(" ") & ~text.contains("  ")
+        return F.when(clean & ~text.rlike(_UNCLEAN), text).otherwise(plain(text))
+
+    return let(c, cleaned)
 
 
 # --- missing values ---------------------------------------------------------------------
@@ -200,9 +209,22 @@ def is_known(c: Column) -> Column:
 
 
 def has_word(c: Column, words: Sequence[str], flags: str = "") -> Column:
-    """Does any of the words or phrases occur, delimited by word boundaries?"""
+    """Does any of the words or phrases occur, delimited by word boundaries?
+
+    Plain searches for the words come first, since most texts hold none. Without regard to case (flag i) they look at the
+    lower-cased text, unless a word has a letter that the pattern also takes for one with another lower case (dotless i, long s).
+    """
     alternatives = "|".join(re.escape(w).replace(r"\ ", " ").replace(r"\-", "-") for w in words)
-    return c.rlike(f"(?U{flags})\\b(?:{alternatives})\\b")
+    found = c.rlike(f"(?U{flags})\\b(?:{alternatives})\\b")
+    needed = sorted({w.lower() if "i" in flags else w for w in words})
+    needed = [w for w in needed if not any(v != w and v in w for v in needed)]
+    if "i" in flags and any({"i", "s"} & set(w) for w in needed):
+        return found
+    text = F.lower(c) if "i" in flags else c
+    some = text.contains(needed[0])
+    for w in needed[1:]:
+        some = some | text.contains(w)
+    return some & found
 
 
 def first_label(c: Column, rules: Sequence[tuple[str, Sequence[str]]], default: str = UNKNOWN) -> Column:

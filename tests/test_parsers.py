@@ -212,3 +212,20 @@ def test_missing_predicates(spark):
     exact = [r[0] for r in df.select(X.is_missing_exact(F.col("s"))).collect()]
     assert any_case == [True, True, True, True, False, True]
     assert exact == [True, False, True, False, False, True]
+
+
+def test_cheap_looks_come_before_searches(spark):
+    """Clean texts and texts without a word are told by plain looks; the results are those of the whole search."""
+    texts = [None, "", "plain text #1 (x)", " a", "a ", "a  b", "a\tb", "a\x1fb", "a b", "a  b", "über  été", "a &amp; b", "<b>x</b> y",
+             "a&lt;b>c", "x\n", "a\x00b", "12 lac", "9 LAKH", "4 lacſ", "per  month", "MONTHLY", "6 pm.", "apm", "Internı", "mid-level", "midlevel", "head of"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    whole = F.coalesce(F.trim(F.regexp_replace(F.regexp_replace(X.unescape_html(F.col("t")), "<[^>]+>", " "), f"(?U){X.SPACE}+", " ")), F.lit(""))
+    cases = [(["month", "monthly", "pm", "per month"], "i"), (["lpa", "lakh", "lakhs", "lac", "lacs"], "i"), (["intern", "mid", "mid-level"], "i"),
+             (["mid", "mid-level", "head of"], "")]
+    for r in frame.select("t", whole.alias("whole"), X.clean_text(F.col("t")).alias("clean")).collect():
+        assert r.clean == r.whole, r
+    for words, flags in cases:
+        search = F.col("t").rlike(f"(?U{flags})\\b(?:{'|'.join(words)})\\b")
+        for r in frame.select("t", search.alias("whole"), X.has_word(F.col("t"), words, flags).alias("some")).collect():
+            assert r.some == r.whole, (r, words)
+    assert "contains" in str(X.has_word(F.col("t"), ["senior", "sr"])) and "contains" in str(X.clean_text(F.col("t")))
