@@ -3,7 +3,8 @@
 The model holds every n-gram of the training documents and grows with them, so it is neither broadcast nor held
 in one place. Documents are dealt into blocks of bounded size. A block sends its distinct n-grams, packed and
 ordered, to the shards that add them up over the corpus, and gets the totals back in the same order. From these it
-builds the part of the automaton that its own documents can visit and walks each text through it once.
+builds the part of the automaton that its own documents can visit and walks each text through it once, all texts of
+the block side by side.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +20,13 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from postmill.llm.common import parallelism, remainder, text_bytes
+from postmill.llm.common import bounded_batches, parallelism, remainder, text_bytes
 from postmill.llm.packing import pack_counts, pack_keys, unpack_counts, unpack_keys
 
 BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 16 << 20
+#: Words that a task counting the vocabulary holds, some 16 bytes each, before it adds them up and sends them on.
+HELD_WORDS = 1 << 20
 #: A context seen c times gives the mass SCALE * c ** POWER, against c, to continuations it was not seen with:
 #: distinct continuations grow as a power of the count (Heaps). A weight for each context keeps all sums at 1.
 SCALE, POWER = 1.0, 0.8
@@ -102,12 +106,8 @@ def _sorted_keys(levels: list[Grams]) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], order
 
 
-def _requests(block: int, seq: Tokens, levels: list[Grams], train: np.ndarray, shards: int) -> pa.Table:
-    """Per shard, the n-grams of a block with their numbers of occurrences in training documents."""
-    weight = np.repeat(train, seq.lengths)
-    counts = [np.bincount(g.at[g.at >= 0], weight[g.at >= 0], minlength=len(g.keys)) for g in levels]
-    keys, order = _sorted_keys(levels)
-    counts = np.concatenate(counts).astype(np.int64)[order]
+def _dealt(block: int, keys: np.ndarray, counts: np.ndarray, shards: int) -> pa.Table:
+    """Ascending keys with their counts, a row per shard."""
     shard = ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
     cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
     full = np.flatnonzero(np.diff(cuts))
@@ -119,6 +119,14 @@ def _requests(block: int, seq: Tokens, levels: list[Grams], train: np.ndarray, s
     })
 
 
+def _requests(block: int, seq: Tokens, levels: list[Grams], train: np.ndarray, shards: int) -> pa.Table:
+    """Per shard, the n-grams of a block with their numbers of occurrences in training documents."""
+    weight = np.repeat(train, seq.lengths)
+    counts = [np.bincount(g.at[g.at >= 0], weight[g.at >= 0], minlength=len(g.keys)) for g in levels]
+    keys, order = _sorted_keys(levels)
+    return _dealt(block, keys, np.concatenate(counts).astype(np.int64)[order], shards)
+
+
 def _totals(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of a shard as (row numbers, counts over the corpus) of its n-grams, and one total per distinct key."""
     parts = [unpack_keys(c) for c in table.column("keys").to_pylist()]
@@ -137,43 +145,43 @@ class Automaton:
 
     def __init__(self, seq: Tokens, levels: list[Grams], totals: list[np.ndarray], n_tokens: int, n_words: int):
         self.width = len(seq.hashes)
-        base = np.cumsum([1] + [len(g.keys) for g in levels])  # state of gram i of length k + 1: base[k] + i
+        self.base = base = np.cumsum([1] + [len(g.keys) for g in levels])  # state of gram i of length k + 1: base[k] + i
         symbol = seq.symbols[levels[0].first]
-        place = np.empty(self.width, np.int64)  # position of a symbol among the grams of length 1
-        place[:] = -1
-        place[symbol] = np.arange(len(symbol))
         probability = (totals[0] + 1) / (n_tokens + 1 * (n_words + 1))
-        known = totals[0] > 0
-        self.root_weight = [math.nan] * self.width
-        self.root_next = [0] * self.width
-        for s, w, i, k in zip(symbol.tolist(), np.log10(probability).tolist(), range(len(symbol)), known.tolist()):
-            self.root_weight[s] = w
-            self.root_next[s] = int(base[0]) + i if k and len(levels) > 1 else 0
-        backoff, failure = [0.0], [0]
-        keys: list[int] = []
-        self.arc_weight: list[float] = []
-        self.arc_next: list[int] = []
+        self.root_weight = np.full(self.width, math.nan)
+        self.root_weight[symbol] = np.log10(probability)
+        self.root_next = np.zeros(self.width, np.int64)
+        if len(levels) > 1:
+            self.root_next[symbol] = np.where(totals[0] > 0, base[0] + np.arange(len(symbol)), 0)
+        backoff, failure = [np.zeros(1)], [np.zeros(1, np.int64)]
+        keys, weights, nexts = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
         for k, (gram, total) in enumerate(zip(levels, totals)):
             shorter = base[k - 1] + levels[k - 1].at[gram.first] if k else np.zeros(len(gram.keys), np.int64)
             if k + 1 < len(levels):
                 seen = np.maximum(total, 1).astype(float)
                 mass = SCALE * seen**POWER
-                backoff += np.where(total > 0, np.log10(mass / (seen + mass)), 0.0).tolist()
-                failure += shorter.tolist()
+                backoff.append(np.where(total > 0, np.log10(mass / (seen + mass)), 0.0))
+                failure.append(shorter)
             if k:
                 context = levels[k - 1].at[gram.first - 1]
                 c = totals[k - 1][context]
                 spread = SCALE * c.astype(float) ** POWER
                 below = probability[levels[k - 1].at[gram.first]]
                 probability = (total + spread * below) / np.maximum(c + spread, 1e-300)
-                real = np.flatnonzero(total > 0)
-                states = base[k - 1] + context[real]
-                keys += (states * self.width + seq.symbols[gram.first[real]]).tolist()
-                self.arc_weight += np.log10(probability[real]).tolist()
-                self.arc_next += (base[k] + real if k + 1 < len(levels) else shorter[real]).tolist()
-        self.arcs = dict(zip(keys, range(len(keys))))
-        self.backoff, self.failure = backoff, failure
-        self.begin = int(base[0] + place[seq.start]) if len(levels) > 1 else 0
+                real = (total > 0) & (c > 0)
+                weights.append(np.log10(probability, out=np.full(len(total), math.nan), where=real))
+                keys.append((base[k - 1] + context) * self.width + seq.symbols[gram.first])
+                nexts.append(base[k] + np.arange(len(total)) if k + 1 < len(levels) else shorter)
+        self.backoff, self.failure = np.concatenate(backoff), np.concatenate(failure)
+        #: One place for each gram of two tokens or more; the weight is not a number where the model has no such arc.
+        self.arc_key, self.arc_weight, self.arc_next = np.concatenate(keys), np.concatenate(weights), np.concatenate(nexts)
+        self.begin = int(self.base[0] + np.flatnonzero(symbol == seq.start)[0]) if len(levels) > 1 and len(seq.starts) else 0
+
+    @cached_property
+    def arcs(self) -> dict[int, int]:
+        """Arcs by state and symbol."""
+        real = np.flatnonzero(~np.isnan(self.arc_weight))
+        return dict(zip(self.arc_key[real].tolist(), real.tolist()))
 
     def walk(self, symbols: list[int]) -> float:
         """One traversal from left to right: follow an arc, or fail to the shorter context and try again."""
@@ -191,7 +199,34 @@ class Automaton:
             else:
                 total += self.root_weight[s]
                 state = self.root_next[s]
-        return total
+        return float(total)
+
+    def walk_block(self, seq: Tokens, levels: list[Grams]) -> np.ndarray:
+        """What ``walk`` gives for each text of the block, all tokens at once.
+
+        Each token is met in its longest context. Round by round it follows its arc, or fails to the shorter context,
+        down to the empty one; contexts that the model lacks fail at no cost. The number of the gram that ends at a
+        token is the place of the arc, so no arc is searched for.
+        """
+        predicted = np.ones(len(seq.symbols), bool)
+        predicted[seq.starts] = False
+        position = np.flatnonzero(predicted)
+        state = np.zeros(len(position), np.int64)
+        for k in range(1, len(levels)):
+            inside = levels[k].at[position] >= 0
+            state[inside] = self.base[k - 1] + levels[k - 1].at[position[inside] - 1]
+        steps = np.zeros((len(position), len(levels)))  # what a token adds, in the order of the walk
+        walking = np.ones(len(position), bool)
+        for k in range(len(levels) - 1, 0, -1):
+            here = np.flatnonzero(walking & (state >= self.base[k - 1]))
+            weight = self.arc_weight[self.base[k] - self.base[1] + levels[k].at[position[here]]]
+            failed = np.isnan(weight)
+            steps[here, -1 - k] = np.where(failed, self.backoff[state[here]], weight)
+            walking[here] = failed
+            state[here] = self.failure[state[here]]
+        steps[walking, -1] = self.root_weight[seq.symbols[position[walking]]]
+        doc = np.repeat(np.arange(len(seq.starts)), (seq.lengths - 1) * len(levels))
+        return np.bincount(doc, steps.ravel(), minlength=len(seq.starts))
 
 
 def _score_block(seq: Tokens, levels: list[Grams], flat: np.ndarray, n_tokens: int, n_words: int):
@@ -210,30 +245,44 @@ def _score_block(seq: Tokens, levels: list[Grams], flat: np.ndarray, n_tokens: i
     size = len(seq.starts)
     known = np.bincount(doc, count > 0, minlength=size).astype(np.int64)
     base = np.bincount(doc, np.log10((count + 1) / (n_tokens + 1 * (n_words + 1))), minlength=size)
-    model = Automaton(seq, levels, totals, n_tokens, n_words)
-    symbols = seq.symbols.tolist()
-    scores = [model.walk(symbols[a + 1:a + n]) for a, n in zip(seq.starts.tolist(), seq.lengths.tolist())]
-    return seq.lengths - 1, known, base, np.array(scores)
+    scores = Automaton(seq, levels, totals, n_tokens, n_words).walk_block(seq, levels)
+    return seq.lengths - 1, known, base, scores
 
 
 _REQUEST = "shard bigint, block bigint, keys binary, counts binary"
 
 
+def _word_counts(batches: Iterator[pa.Array], shards: int, held_words: int = HELD_WORDS) -> Iterator[pa.Table]:
+    """Words of the texts and their numbers, as rows for the shards; at most ``held_words`` and a batch are held."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def added() -> pa.Table:
+        keys, number = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        counts = np.bincount(number, np.concatenate([c for _, c in held])).astype(np.int64)
+        held.clear()
+        return _dealt(0, keys, counts, shards)
+
+    for texts in batches:
+        seq = tokens(texts)
+        held.append((seq.hashes, np.bincount(seq.symbols, minlength=len(seq.hashes))))
+        if sum(len(k) for k, _ in held) >= held_words:
+            yield added()
+    if held:
+        yield added()
+
+
 def vocabulary_size(docs: DataFrame, shards: int) -> tuple[int, int]:
     """Tokens, and distinct tokens, of the training documents (columns text, train)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seq = tokens(batch.column("text"))
-            train = batch.column("train").to_numpy(zero_copy_only=False).astype(np.int64)
-            level = grams(seq, 1)
-            yield from _requests(0, seq, level, train, shards).to_batches()
+        for table in _word_counts((batch.column("text") for batch in batches), shards):
+            yield from table.to_batches()
 
     def add(table: pa.Table) -> pa.Table:
         _, _, sums = _totals(table)
         return pa.table({"n": pa.array([int(sums.sum())]), "v": pa.array([int((sums > 0).sum())])})
 
-    found = docs.select("text", "train").mapInArrow(count, _REQUEST).groupBy("shard").applyInArrow(add, "n bigint, v bigint")
+    found = docs.where("train").select("text").mapInArrow(count, _REQUEST).groupBy("shard").applyInArrow(add, "n bigint, v bigint")
     row = found.agg(F.sum("n"), F.sum("v")).first()
     documents = docs.where("train").count()
     return (row[0] or 0) - documents, (row[1] or 0) - (documents > 0)  # without the start marks
@@ -251,6 +300,7 @@ def score(docs: DataFrame, order: int = 2, divisor: int = 7, left_out: int = 2,
     keys; blocks need an input that reads the same twice.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     size = text_bytes(docs)
     blocks = max(2 * parallelism(spark), math.ceil(size / block_bytes))
     shards = max(parallelism(spark), math.ceil(size / shard_bytes))
